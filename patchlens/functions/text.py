@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from patchlens.lookups import WHITESPACE
+from patchlens.lookups import WHITESPACE, WHITESPACE_CHARACTERS
 
 
 def strip_ws(c: Column) -> Column:
@@ -13,7 +13,7 @@ def strip_ws(c: Column) -> Column:
 
 def trim_ws(c: Column) -> Column:
     """The text without whitespace at its ends, by the same definition."""
-    return F.regexp_replace(c, rf"\A{WHITESPACE}+|{WHITESPACE}+\z", "")
+    return F.trim(c, F.lit(WHITESPACE_CHARACTERS))
 
 
 def not_blank(c: Column) -> Column:

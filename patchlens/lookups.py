@@ -35,8 +35,17 @@ SECTOR_SEEDS = {
 # Python packaging tools, never counted as a trend.
 PACKAGING_TOOLS = ("pip", "setuptools", "wheel")
 
-# The characters Python calls whitespace, as a Java regex class. Java's \s alone
+# The characters Python calls whitespace: as text, and as a Java regex class. Java's \s alone
 # misses the separators from U+001C on.
+WHITESPACE_CHARACTERS = "".join(
+    map(
+        chr,
+        (
+            *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+            *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+        ),
+    )
+)
 WHITESPACE = (
     r"[\s\x1c-\x1f\x85\xa0"
     r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

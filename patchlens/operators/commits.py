@@ -8,8 +8,10 @@ from patchlens.functions.text import not_blank
 
 def explode_files(commits: DataFrame, *extra: str) -> DataFrame:
     """One row per file that has a patch: repo_name, commit_sha, filename (lowercase), patch."""
+    # The outer form makes Spark skip a guard on the array's size, for which it
+    # would compute a derived array a second time. The filter drops its NULL rows.
     return (
-        commits.select("repo_name", "sha", F.explode("files").alias("file"), *extra)
+        commits.select("repo_name", "sha", F.explode_outer("files").alias("file"), *extra)
         .filter(not_blank(F.col("file.patch")))
         .select(
             "repo_name",

@@ -24,8 +24,10 @@ def with_libraries(files: DataFrame) -> DataFrame:
 def trend_rows(files: DataFrame, *extra: str) -> DataFrame:
     """Files with ``libraries`` -> one row per name: library_name, language, repo_name."""
     tool = (F.col("language") == "Python") & F.col("library_name").isin(*PACKAGING_TOOLS)
+    # Outer, so that Spark adds no guard that would search every patch twice.
     return (
-        files.select(F.explode("libraries").alias("library"), "language", "repo_name", *extra)
+        files.select(F.explode_outer("libraries").alias("library"), "language", "repo_name", *extra)
+        .filter(F.col("library").isNotNull())
         .select(F.lower("library").alias("library_name"), "language", "repo_name", *extra)
         .filter(~tool)
     )

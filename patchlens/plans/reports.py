@@ -62,10 +62,11 @@ def parse_responses(df: DataFrame, *extra: str) -> DataFrame:
             present = present & item[field].isNotNull()
         return present
 
-    return (
-        df.select(items.alias("items"), *extra)
-        .filter(F.forall("items", complete))
-        .select(F.inline("items").alias(*fields), *extra)
+    # One expression from text to items: as a filter on a column, the check would
+    # parse every answer again.
+    whole = F.transform(F.array(items), lambda found: F.when(F.forall(found, complete), found))
+    return df.select(F.inline_outer(F.flatten(whole)).alias(*fields), *extra).filter(
+        F.col("sector").isNotNull()
     )
 
 

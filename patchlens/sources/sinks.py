@@ -1,4 +1,4 @@
-"""Table sinks: day partitions, rows clustered inside the files, replay-safe batches.
+"""Table sinks: day partitions, clustered files, replay-safe batches.
 
 A stream's batch goes to ``<path>/stream_id=<query>/batch_id=<n>`` and replaces
 what an earlier attempt at the same batch left there. A batch that is retried
@@ -29,33 +29,52 @@ def _stamped(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 
 def _write_facts(
-    df: DataFrame, path: str, cluster: tuple[str, ...], stream_id: str | None, batch_id: int | None
+    df: DataFrame,
+    path: str,
+    cluster: tuple[str, ...],
+    batch_id: int | None,
+    stream_id: str | None,
+    clustered: bool,
 ) -> None:
     # Rebalancing brings a day's rows together but, unlike a hash repartition,
     # lets AQE split a day too large for one task and merge days too small.
-    clustered = df.hint("rebalance", "detected_date").sortWithinPartitions("detected_date", *cluster)
+    rows = df.hint("rebalance", "detected_date")
+    if clustered:
+        rows = rows.sortWithinPartitions("detected_date", *cluster)
     if batch_id is None:
         target, mode = path, "append"
     else:
         target, mode = f"{path}/stream_id={stream_id or 'batch'}/batch_id={batch_id}", "overwrite"
-    writer = clustered.write.mode(mode).partitionBy("detected_date")
+    writer = rows.write.mode(mode).partitionBy("detected_date")
     writer.option("partitionOverwriteMode", "static").parquet(target)
 
 
 def write_trends(
-    df: DataFrame, path: str, batch_id: int | None = None, stream_id: str | None = None
+    df: DataFrame,
+    path: str,
+    batch_id: int | None = None,
+    stream_id: str | None = None,
+    clustered: bool = True,
 ) -> None:
-    """Append trends, or put them in the place of batch ``batch_id``."""
+    """Append trends, or put them in the place of batch ``batch_id``.
+
+    ``clustered`` sorts each file by library and language, for its statistics to
+    prune by. A micro-batch may leave that to ``recluster``.
+    """
     rows = require_not_null(_stamped(df, TREND_COLUMNS), ["library_name"])
-    _write_facts(rows, path, TREND_CLUSTER, stream_id, batch_id)
+    _write_facts(rows, path, TREND_CLUSTER, batch_id, stream_id, clustered)
 
 
 def write_leaks(
-    df: DataFrame, path: str, batch_id: int | None = None, stream_id: str | None = None
+    df: DataFrame,
+    path: str,
+    batch_id: int | None = None,
+    stream_id: str | None = None,
+    clustered: bool = True,
 ) -> None:
-    """Append leaks, or put them in the place of batch ``batch_id``."""
+    """As ``write_trends`` for leaks, clustered by score."""
     rows = require_not_null(_stamped(df, LEAK_COLUMNS), ["commit_sha"])
-    _write_facts(rows, path, LEAK_CLUSTER, stream_id, batch_id)
+    _write_facts(rows, path, LEAK_CLUSTER, batch_id, stream_id, clustered)
 
 
 def recluster(df: DataFrame, path: str, cluster: tuple[str, ...]) -> None:

@@ -17,6 +17,8 @@ from patchlens.sources.sinks import write_leaks, write_trends
 # each, some 50 MB. A larger batch is joined by shuffling instead.
 BROADCAST_COMMITS = 500_000
 
+KEEP = StorageLevel.MEMORY_AND_DISK
+
 
 def file_findings(files: DataFrame, *extra: str) -> DataFrame:
     """What each file tells, without its text: entropy, language and libraries."""
@@ -27,13 +29,14 @@ def file_findings(files: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def leaks_in(findings: DataFrame, threshold: float = LEAK_THRESHOLD) -> DataFrame:
+def leaks_in(findings: DataFrame, threshold: float, *extra: str) -> DataFrame:
     over = findings.filter(F.col("entropy_score") > threshold)
-    return over.select("repo_name", "commit_sha", "entropy_score", "detected_at")
+    return over.select("repo_name", "commit_sha", "entropy_score", *extra)
 
 
-def trends_in(findings: DataFrame) -> DataFrame:
-    return trend_rows(findings.filter(F.col("language").isNotNull()), "detected_at")
+def manifests_in(findings: DataFrame, *extra: str) -> DataFrame:
+    manifests = findings.filter(F.col("language").isNotNull())
+    return manifests.select("repo_name", "commit_sha", "language", "libraries", *extra)
 
 
 def _pushed_commits(push: DataFrame, commits: DataFrame) -> DataFrame:
@@ -78,11 +81,13 @@ def run_stream(
     threshold: float = LEAK_THRESHOLD,
     trigger: str | None = None,
     delay: str = "1 hour",
+    clustered: bool = False,
 ) -> StreamingQuery:
     """Start the job: pushes (name, head, pushed_at) -> ``out/leaks`` and ``out/trends``.
 
     ``detected_at`` is the push time, or the batch's time where a push has none.
     Without a ``trigger`` interval the query takes what is there and stops.
+    Files are sorted only if ``clustered``; ``recluster`` does that for whole days.
 
     ``commits`` is the commit table, looked up by every micro-batch, or a stream
     of new commits with a ``committed_at`` column. The stream is the form for
@@ -90,26 +95,35 @@ def run_stream(
     in state, and a push meets commits up to ``delay`` older or younger than it.
     """
 
-    def store(findings: DataFrame, batch_id: int) -> None:
-        # One pass over the texts feeds both tables: what is kept holds no text.
-        findings.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stream_id = _query_id(findings.sparkSession)
-            write_trends(trends_in(findings), f"{out}/trends", batch_id, stream_id)
-            write_leaks(leaks_in(findings, threshold), f"{out}/leaks", batch_id, stream_id)
-        finally:
-            findings.unpersist()
+    def store(trends: DataFrame, leaks: DataFrame, batch_id: int) -> None:
+        stream_id = _query_id(trends.sparkSession)
+        write_trends(trends, f"{out}/trends", batch_id, stream_id, clustered)
+        write_leaks(leaks, f"{out}/leaks", batch_id, stream_id, clustered)
 
     def look_up(batch: DataFrame, batch_id: int) -> None:
         known = batch.filter(F.col("name").isNotNull() & F.col("head").isNotNull())
-        known.persist(StorageLevel.MEMORY_AND_DISK)
+        known = known.withColumnRenamed("pushed_at", "detected_at").persist(KEEP)
+        files = explode_files(_pushed_commits(known, commits))
+        # One pass over the texts feeds both tables. What is kept holds no text
+        # and one row per file, however often its commit is pushed.
+        findings = file_findings(files).persist(KEEP)
         try:
-            files = explode_files(_pushed_commits(known, commits))
-            findings = enrich(known, file_findings(files))
-            store(findings.withColumnRenamed("pushed_at", "detected_at"), batch_id)
+            leaks = enrich(known, leaks_in(findings, threshold))
+            trends = trend_rows(enrich(known, manifests_in(findings)), "detected_at")
+            store(trends, leaks, batch_id)
         finally:
+            findings.unpersist()
             known.unpersist()
 
+    def split(joined: DataFrame, batch_id: int) -> None:
+        joined.persist(KEEP)
+        try:
+            leaks = leaks_in(joined, threshold, "detected_at")
+            trends = trend_rows(manifests_in(joined, "detected_at"), "detected_at")
+            store(trends, leaks, batch_id)
+        finally:
+            joined.unpersist()
+
     if not commits.isStreaming:
         return _start(push, look_up, checkpoint, trigger)
 
@@ -127,7 +141,7 @@ def run_stream(
     )
     return _start(
         joined.withColumnRenamed("pushed_at", "detected_at").drop("name", "head", "committed_at"),
-        store,
+        split,
         checkpoint,
         trigger,
     )

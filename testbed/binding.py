@@ -44,7 +44,9 @@ def _sha(c: Column) -> Column:
 def to_raw_events(events: DataFrame, documents: DataFrame) -> DataFrame:
     """Events as pushes: some without head or name, some to an unknown commit."""
     event_id = F.col("event_id")
-    k = event_id % documents.select(F.count("*")).scalar()
+    # Counted from the file footers. As a subquery it would be repeated in each
+    # of the many places that k is folded into.
+    k = event_id % documents.count()
     head = (
         F.when(event_id % 97 == 0, None)
         .when(event_id % 89 == 0, _sha(F.concat(F.lit("gone-"), event_id)))
@@ -145,8 +147,7 @@ def trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a model's answers: good, fenced, cut, trailing, incomplete, no list."""
-    doc_id = F.col("doc_id")
-    words = F.trim(F.regexp_replace("text", "[^A-Za-z0-9]+", " "))
+    doc_id, words = F.col("doc_id"), F.col("words")
     libraries = F.concat(F.lit('["'), F.replace(words, F.lit(" "), F.lit('","')), F.lit('"]'))
 
     def item(sector: Column, theme: Column, summary: Column | None) -> Column:
@@ -170,7 +171,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("\n "), good))
     )
     days = (doc_id % 28).cast("int")
-    return table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    clean = F.trim(F.regexp_replace("text", "[^A-Za-z0-9]+", " "))
+    return documents.withColumn("words", clean).select(
         "doc_id",
         F.date_add(F.lit("2024-01-01").cast("date"), days).alias("answered_on"),
         response.alias("response"),

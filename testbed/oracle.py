@@ -368,7 +368,8 @@ BODIES = {
       SELECT repo_name, commit_sha, round(entropy_score, 6) AS entropy_score, detected_at
       FROM leak""",
     "stream_trends_sink": """
-      SELECT library_name, language, repo_name, detected_at::DATE AS detected_date, count(*) AS n
+      SELECT library_name, language, count(*) AS n, count(DISTINCT repo_name) AS repos,
+             min(detected_at::DATE) AS first_day, max(detected_at::DATE) AS last_day
       FROM trend GROUP BY ALL""",
     "stream_dual_sink": """
       SELECT detected_date, coalesce(trends, 0) AS trends, coalesce(leaks, 0) AS leaks

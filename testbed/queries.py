@@ -391,8 +391,12 @@ def stream_leaks_sink(spark, sf):
 @query
 def stream_trends_sink(spark, sf):
     trends = tables.trends(spark, f"{_run_both_sinks(spark, sf)}/trends")
-    keys = "library_name", "language", "repo_name", "detected_date"
-    return trends.groupBy(*keys).agg(F.count("*").alias("n"))
+    return trends.groupBy("library_name", "language").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("repo_name").alias("repos"),
+        F.min("detected_date").alias("first_day"),
+        F.max("detected_date").alias("last_day"),
+    )
 
 
 @query

@@ -5,14 +5,15 @@ remaining character enters the denominator, so texts in other scripts score low.
 Empty text scores 0, whitespace alone has no score (NULL).
 """
 
-from collections.abc import Iterator
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from patchlens.lookups import WHITESPACE_CHARACTERS
+
 
 @cache
 def _arrow_entropy():
@@ -20,8 +21,8 @@ def _arrow_entropy():
     # needs no installed package there.
     import numpy as np
 
-    narrow_blanks = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0]
-    wide_blanks = [chr(c) for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    narrow_blanks = [ord(blank) for blank in WHITESPACE_CHARACTERS if ord(blank) < 256]
+    wide_blanks = [blank for blank in WHITESPACE_CHARACTERS if ord(blank) > 255]
 
     def score(text):
         if not text:
@@ -39,11 +40,10 @@ def _arrow_entropy():
         share = counts / total
         return abs(float((share * np.log2(share)).sum()))
 
-    def entropy(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([score(t) for t in texts], dtype="float64")
+    def entropy(texts: pa.Array) -> pa.Array:
+        return pa.array([score(text) for text in texts.to_pylist()], pa.float64())
 
-    return F.pandas_udf(entropy, DoubleType())
+    return F.arrow_udf(entropy, DoubleType())
 
 
 def entropy_udf(c: Column) -> Column:

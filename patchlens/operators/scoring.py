@@ -10,6 +10,17 @@ from patchlens.lookups import LEAK_THRESHOLD
 TOKEN_BREAKS = r"[\s\"'=:,;()]+"
 
 
+def with_entropy(df: DataFrame, text: str = "patch") -> DataFrame:
+    """Add ``entropy_score``, computed once per row.
+
+    As a plain column, a later filter on the score would move below it and score
+    every text a second time. It cannot move below a generator, whereas filters
+    on other columns still can.
+    """
+    score = F.array(entropy_udf(F.col(text)))
+    return df.select("*", F.explode_outer(score).alias("entropy_score"))
+
+
 def patch_entropy(
     df: DataFrame, key: list[str], text: str = "patch", method: str = "arrow"
 ) -> DataFrame:
@@ -20,7 +31,7 @@ def patch_entropy(
     through a shuffle, and needs a key that is unique per row.
     """
     if method == "arrow":
-        return df.select(*key, entropy_udf(F.col(text)).alias("entropy_score"))
+        return with_entropy(df, text).select(*key, "entropy_score")
     if method == "native":
         return _entropy_by_character_counts(df, key, text)
     raise ValueError(f"unknown entropy method: {method}")
@@ -70,7 +81,7 @@ def token_entropy(
     tokens = files.select(
         "repo_name",
         "commit_sha",
-        F.explode(F.split("patch", TOKEN_BREAKS)).alias("token"),
+        F.explode_outer(F.split("patch", TOKEN_BREAKS)).alias("token"),
     ).filter((F.length("token") >= min_len) & (F.length("token") > 2.0**threshold))
     scored = patch_entropy(tokens, ["repo_name", "commit_sha", "token"], text="token")
     return scored.filter(F.col("entropy_score") > threshold)

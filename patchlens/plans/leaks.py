@@ -181,8 +181,13 @@ def live_latest(leaks: DataFrame, k: int = 50) -> DataFrame:
 
 
 def public_security_stream(leaks: DataFrame, ordered: bool = True) -> DataFrame:
-    """All leaks with repository and commit masked, newest first."""
-    rows = leaks.orderBy(F.desc("detected_at")) if ordered else leaks
+    """All leaks with repository and commit masked, newest first.
+
+    A whole batch may carry one time. The further sort columns let Spark cut its
+    rows into several ranges, and fix their order.
+    """
+    newest_first = F.desc("detected_at"), "commit_sha", "repo_name", "entropy_score"
+    rows = leaks.orderBy(*newest_first) if ordered else leaks
     return rows.select(
         mask_segments(F.col("repo_name")).alias("masked_repo"),
         mask_sha(F.col("commit_sha")).alias("masked_sha"),

@@ -6,7 +6,7 @@ therefore leaves its rows once. A query started afresh has another id and never
 overwrites the batches of the one before.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchlens.operators.constraints import require_not_null
@@ -16,6 +16,9 @@ TREND_CLUSTER = ("library_name", "language")
 LEAK_COLUMNS = ("repo_name", "commit_sha", "entropy_score", "detected_at")
 LEAK_CLUSTER = ("entropy_score",)
 
+# Tasks at least that may share one day's rows of a write.
+DAY_PARTS = 16
+
 
 def _stamped(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """The table's columns, ``detected_at`` defaulting to now, and its day."""
@@ -37,8 +40,12 @@ def _write_facts(
     clustered: bool,
 ) -> None:
     # Rebalancing brings a day's rows together but, unlike a hash repartition,
-    # lets AQE split a day too large for one task and merge days too small.
-    rows = df.hint("rebalance", "detected_date")
+    # lets AQE split what is too large for one task and merge what is too small.
+    # AQE splits between the tasks that produced the rows. A batch is mostly one
+    # day and may come from one task, so a day is cut into parts beforehand. The
+    # part depends on the row alone: a recomputed task sends it to the same place.
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(DAY_PARTS))
+    rows = df.withColumn("_part", part).hint("rebalance", "detected_date", "_part").drop("_part")
     if clustered:
         rows = rows.sortWithinPartitions("detected_date", *cluster)
     if batch_id is None:
@@ -87,7 +94,7 @@ def recluster(df: DataFrame, path: str, cluster: tuple[str, ...]) -> None:
     Days in ``df`` replace the same days in the table, other days stay.
     """
     columns = [c for c in df.columns if c not in ("stream_id", "batch_id")]
-    spread_over: Column = F.pmod(F.xxhash64(*columns), F.lit(1024))
+    spread_over = F.pmod(F.xxhash64(*columns), F.lit(1024))
     (
         df.select(*columns)
         .repartitionByRange("detected_date", *cluster, spread_over)

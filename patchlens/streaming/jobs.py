@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from patchlens.functions.entropy import entropy_udf
 from patchlens.lookups import LEAK_THRESHOLD
 from patchlens.operators.commits import enrich, explode_files
 from patchlens.operators.dependencies import trend_rows, with_libraries
+from patchlens.operators.scoring import with_entropy
 from patchlens.sources.sinks import write_leaks, write_trends
 
 # A micro-batch's distinct commits are broadcast up to this many: about 100 bytes
@@ -22,10 +22,8 @@ KEEP = StorageLevel.MEMORY_AND_DISK
 
 def file_findings(files: DataFrame, *extra: str) -> DataFrame:
     """What each file tells, without its text: entropy, language and libraries."""
-    return (
-        with_libraries(files)
-        .withColumn("entropy_score", entropy_udf(F.col("patch")))
-        .select("repo_name", "commit_sha", "entropy_score", "language", "libraries", *extra)
+    return with_entropy(with_libraries(files)).select(
+        "repo_name", "commit_sha", "entropy_score", "language", "libraries", *extra
     )
 
 
@@ -183,7 +181,7 @@ def run_hourly(
     """Keep ``out`` current: every micro-batch stores the hours it changed."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.repartition(1).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return _start(stream_entropy_hourly(leaks, delay), store, checkpoint, trigger, "update")
 

@@ -1,0 +1,125 @@
+"""The plans Spark picks: pruned scans, map-side limits, no repeated or row-wise work."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from patchlens import operators as ops
+from patchlens import plans, sources
+from patchlens.schemas import COMMIT
+
+NOW = datetime(2024, 1, 10)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("tables")
+    leaks = spark.range(1000).select(
+        F.concat(F.lit("o/r"), F.col("id") % 7).alias("repo_name"),
+        F.sha1(F.col("id").cast("string").cast("binary")).alias("commit_sha"),
+        (4 + F.col("id") % 10 / 10).alias("entropy_score"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 600).alias("detected_at"),
+    )
+    sources.write_leaks(leaks, f"{root}/leaks", batch_id=0)
+    trends = leaks.select(
+        F.col("commit_sha").substr(1, 2).alias("library_name"), F.lit("Python").alias("language"), "repo_name", "detected_at"
+    )
+    sources.write_trends(trends, f"{root}/trends", batch_id=0)
+    commits = spark.createDataFrame([("o/r1", "x", [("requirements.txt", "+flask")])], COMMIT)
+    commits.write.parquet(f"{root}/commits")
+    return {
+        "leaks": sources.leaks(spark, f"{root}/leaks"),
+        "trends": sources.trends(spark, f"{root}/trends"),
+        "commits": sources.read_commits(spark, f"{root}/commits"),
+    }
+
+
+def test_reports_read_only_their_columns_and_days(tables):
+    kpi = plan(plans.kpi(tables["leaks"], NOW))
+    assert "PartitionFilters: [isnotnull(detected_date" in kpi and "GreaterThan(detected_at" in kpi
+    hourly = plan(plans.entropy_hourly(tables["leaks"]))
+    assert "ReadSchema: struct<entropy_score:double,detected_at:timestamp>" in hourly
+    counts = plan(plans.trend_counts(tables["trends"], NOW))
+    assert "ReadSchema: struct<library_name:string,detected_at:timestamp>" in counts
+    assert "partial_count" in counts
+
+
+def test_one_row_per_repository_is_kept_before_the_shuffle(tables):
+    text = plan(plans.live_latest(tables["leaks"]))
+    before, after = text.split("Exchange", 1)
+    assert "WindowGroupLimit" in before and "Partial" in after and "TakeOrderedAndProject" in before
+
+
+def test_a_busy_repository_is_aggregated_by_commit_first(tables):
+    text = plan(plans.top_risky_repos(tables["leaks"], NOW))
+    assert "Exchange hashpartitioning(repo_name" in text
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "hashpartitioning(repo_name#" in text and ", commit_sha#" in text.split("hashpartitioning")[2]
+
+
+def test_texts_are_searched_once_and_scored_once(tables):
+    files = ops.explode_files(tables["commits"])
+    trends = plan(ops.extract_trends(files))
+    assert trends.count("regexp_extract_all") == 2  # one per language
+    assert "Exchange" not in trends
+    push = tables["leaks"].selectExpr("repo_name AS name", "commit_sha AS head")
+    for leaks in (ops.detect_leaks(files), ops.enrich(push, ops.detect_leaks(files))):
+        assert plan(leaks).count("ArrowEvalPython") == 1 and "BatchEvalPython" not in plan(leaks)
+    leaks = plan(ops.detect_leaks(files))
+    assert "Exchange" not in leaks
+    answers = tables["commits"].select(F.col("sha").alias("response"))
+    assert plan(plans.parse_responses(answers)).count("from_json") == 1
+
+
+def test_limits_stay_below_the_noise_filter(tables):
+    text = plan(plans.tech_trends_top(tables["trends"], ["aa"], NOW))
+    first, noise, cut = (text.index(part) for part in ("limit=60", "Filter NOT", "limit=300"))
+    assert first < noise < cut
+
+
+def test_no_cartesian_products(tables):
+    for df in (
+        plans.category_libs(tables["trends"], as_of=NOW),
+        plans.entropy_histogram(tables["leaks"], NOW),
+        plans.heatmap_pivot(tables["leaks"]),
+        ops.commit_missing(
+            tables["leaks"].selectExpr("repo_name AS name", "commit_sha AS head"), tables["commits"]
+        ),
+    ):
+        assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
+
+
+def test_a_commit_pushed_over_and_over_is_split(spark):
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+    }
+    push = spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 5000)).alias("name"),
+        F.lit("s").alias("head"),
+        F.timestamp_seconds("id").alias("pushed_at"),
+    )
+    found = push.select(F.col("name").alias("repo_name"), F.col("head").alias("commit_sha")).distinct()
+    found = found.withColumn("entropy_score", F.lit(4.6))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        # The count per commit above the join would reuse its partitions; the
+        # session's settings let AQE split the hot one all the same.
+        joined = ops.enrich(push, found).groupBy("repo_name", "commit_sha").agg(
+            F.count("*").alias("n"), F.max("pushed_at").alias("newest")
+        )
+        assert sum(r.n for r in joined.collect()) == 300_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -1,6 +1,6 @@
 """The event side: filter, flatten, publish and parse pushes."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from patchlens.functions.text import not_blank
@@ -71,13 +71,25 @@ def parse_messages(messages: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def push_batch_summary(events: DataFrame) -> DataFrame:
-    """How many events came, how many were pushes, how many could be sent."""
-    return events.agg(
+def _batch_counts() -> list[Column]:
+    return [
         F.count("*").alias("total_events"),
         F.count_if(_is_push()).alias("push_events"),
         F.count_if(_is_signal()).alias("signals"),
-    )
+    ]
+
+
+def push_batch_summary(events: DataFrame) -> DataFrame:
+    """How many events came, how many were pushes, how many could be sent."""
+    return events.agg(*_batch_counts())
+
+
+def observe_pushes(events: DataFrame, observation: Observation | str = "pushes") -> DataFrame:
+    """The same counts taken in passing: the events go on, no extra job runs.
+
+    A stream reports them with each micro-batch's progress under the given name.
+    """
+    return events.observe(observation, *_batch_counts())
 
 
 def dedupe_pushes(events: DataFrame, key: str = "event_id") -> DataFrame:

@@ -5,6 +5,7 @@ from patchlens.plans.leaks import (
     entropy_hourly,
     heatmap_pivot,
     kpi,
+    kpi_tiles,
     live_latest,
     public_security_stream,
     top_risky_repos,
@@ -32,6 +33,7 @@ __all__ = [
     "entropy_hourly",
     "heatmap_pivot",
     "kpi",
+    "kpi_tiles",
     "live_latest",
     "llm_candidate_list",
     "llm_candidates",

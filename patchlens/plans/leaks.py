@@ -39,6 +39,16 @@ def kpi(
     )
 
 
+def kpi_tiles(kpis: DataFrame) -> DataFrame:
+    """The ``kpi`` row as display text."""
+    return kpis.select(
+        F.format_number("total_leaks", 0).alias("total_leaks"),
+        F.format_number("avg_risk", 3).alias("avg_risk"),
+        F.format_number("critical_count", 0).alias("critical_count"),
+        F.format_number("affected_repos", 0).alias("affected_repos"),
+    )
+
+
 def entropy_hourly(leaks: DataFrame) -> DataFrame:
     """Mean and maximum entropy per hour, oldest hour first."""
     return (

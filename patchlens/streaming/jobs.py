@@ -80,6 +80,7 @@ def run_stream(
     trigger: str | None = None,
     delay: str = "1 hour",
     clustered: bool = False,
+    salts: int = 8,
 ) -> StreamingQuery:
     """Start the job: pushes (name, head, pushed_at) -> ``out/leaks`` and ``out/trends``.
 
@@ -91,6 +92,8 @@ def run_stream(
     of new commits with a ``committed_at`` column. The stream is the form for
     large volumes: files are analysed as they arrive, only the findings are kept
     in state, and a push meets commits up to ``delay`` older or younger than it.
+    A stream join has no adaptive splitting, so the pushes of one commit are cut
+    into ``salts`` parts by their time and each finding is held once per part.
     """
 
     def store(trends: DataFrame, leaks: DataFrame, batch_id: int) -> None:
@@ -125,23 +128,24 @@ def run_stream(
     if not commits.isStreaming:
         return _start(push, look_up, checkpoint, trigger)
 
-    pushed = push.withWatermark("pushed_at", delay)
+    salt = F.pmod(F.xxhash64("pushed_at"), F.lit(salts)).cast("int")
+    pushed = push.withWatermark("pushed_at", delay).withColumn("salt", salt)
     files = explode_files(commits, "committed_at").withWatermark("committed_at", delay)
-    findings = file_findings(files, "committed_at")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    findings = file_findings(files, "committed_at").withColumn("part", every_salt)
     near = F.expr(f"INTERVAL {delay}")
     joined = pushed.join(
         findings,
         (pushed["name"] == findings["repo_name"])
         & (pushed["head"] == findings["commit_sha"])
+        & (pushed["salt"] == findings["part"])
         & (findings["committed_at"] >= pushed["pushed_at"] - near)
         & (findings["committed_at"] <= pushed["pushed_at"] + near),
         "inner",
     )
+    joined = joined.withColumnRenamed("pushed_at", "detected_at")
     return _start(
-        joined.withColumnRenamed("pushed_at", "detected_at").drop("name", "head", "committed_at"),
-        split,
-        checkpoint,
-        trigger,
+        joined.drop("name", "head", "committed_at", "salt", "part"), split, checkpoint, trigger
     )
 
 

@@ -26,8 +26,15 @@ SEEDS = {
 }
 
 
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _repo(k: Column) -> Column:

@@ -261,6 +261,11 @@ BODIES = {
     "trend_extract": "SELECT library_name, language, repo_name FROM dep",
     "kpi_24h": _kpi(24),
     "kpi_30d": _kpi(720),
+    "kpi_tiles": f"""
+      SELECT format('{{:,}}', total_leaks) AS total_leaks, format('{{:.3f}}', avg_risk) AS avg_risk,
+             format('{{:,}}', critical_count) AS critical_count,
+             format('{{:,}}', affected_repos) AS affected_repos
+      FROM ({_kpi(720)})""",
     "entropy_hourly": _HOURLY,
     "entropy_distribution": """
       SELECT round(entropy_score, 6) AS entropy_score FROM leak, as_of

@@ -186,6 +186,12 @@ def kpi_30d(spark, sf):
     return _plain(leak_plans.kpi(binding.leaks(spark, sf), binding.as_of(spark, sf), hours=720))
 
 
+@query
+def kpi_tiles(spark, sf):
+    kpis = leak_plans.kpi(binding.leaks(spark, sf), binding.as_of(spark, sf), hours=720)
+    return leak_plans.kpi_tiles(kpis)
+
+
 @query
 def entropy_hourly(spark, sf):
     return _plain(leak_plans.entropy_hourly(binding.leaks(spark, sf)))

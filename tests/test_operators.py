@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from patchlens import operators as ops
@@ -46,6 +47,12 @@ def test_pushes_without_name_or_head_are_no_signals(events):
     assert (summary.total_events, summary.push_events, summary.signals) == (6, 5, 2)
 
 
+def test_counts_in_passing(events):
+    seen = Observation()
+    assert ops.observe_pushes(events, seen).count() == 6
+    assert seen.get == {"total_events": 6, "push_events": 5, "signals": 2}
+
+
 def test_both_message_shapes_come_back(events):
     flat = ops.to_messages(events, "flat", key=None)
     assert {r.key for r in flat.collect()} == {None}

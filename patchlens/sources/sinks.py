@@ -84,20 +84,24 @@ def write_leaks(
     _write_facts(rows, path, LEAK_CLUSTER, batch_id, stream_id, clustered)
 
 
-def recluster(df: DataFrame, path: str, cluster: tuple[str, ...]) -> None:
+def recluster(
+    df: DataFrame, path: str, cluster: tuple[str, ...], partitions: int | None = None
+) -> None:
     """Rewrite the days in ``df`` (small files of many batches) as a clustered table.
 
     Rows are ranged by day and cluster columns, so that a filter on those reads
     few files. The last range column is a hash of the row: it lets one value that
     holds a large share of a day be cut over several tasks. It depends on the row
     alone, so a recomputed task places its rows as the lost one did.
-    Days in ``df`` replace the same days in the table, other days stay.
+    Days in ``df`` replace the same days in the table, other days stay. Give the
+    number of range ``partitions`` for large days; it defaults to the session's.
     """
     columns = [c for c in df.columns if c not in ("stream_id", "batch_id")]
     spread_over = F.pmod(F.xxhash64(*columns), F.lit(1024))
+    ranges = ["detected_date", *cluster, spread_over]
     (
         df.select(*columns)
-        .repartitionByRange("detected_date", *cluster, spread_over)
+        .repartitionByRange(*([partitions] if partitions else []), *ranges)
         .sortWithinPartitions("detected_date", *cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

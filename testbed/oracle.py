@@ -354,10 +354,11 @@ BODIES = {
                        QUALIFY dense_rank() OVER (PARTITION BY sector ORDER BY rank) <= 10)
                  GROUP BY sector) USING (sector)""",
     "llm_response_parse": "SELECT sector, theme, summary, top_libs, doc_id FROM parsed",
-    "vibe_rows": "SELECT vibe_date, theme_name, summary, top_libraries FROM vibe",
+    "vibe_rows": """
+      SELECT vibe_date::VARCHAR AS vibe_date, theme_name, summary, top_libraries FROM vibe""",
     "vibe_latest": """
-      SELECT vibe_date, theme_name, summary, top_libraries FROM vibe
-      ORDER BY vibe_date DESC, theme_name, summary LIMIT 4""",
+      SELECT vibe_date::VARCHAR AS vibe_date, theme_name, summary, top_libraries FROM vibe
+      ORDER BY vibe.vibe_date DESC, theme_name, summary LIMIT 4""",
     "vibe_sector": f"""
       SELECT CASE WHEN contains(theme_name, ']')
                   THEN trim(replace(split_part(theme_name, ']', 1), '[', ''))
@@ -366,7 +367,7 @@ BODIES = {
       FROM vibe GROUP BY 1""",
     "leak_table_layout": """
       SELECT repo_name, commit_sha, round(entropy_score, 6) AS entropy_score, detected_at,
-             detected_at::DATE AS detected_date
+             detected_at::DATE::VARCHAR AS detected_date
       FROM leak, as_of WHERE detected_at > t - INTERVAL 7 DAY""",
     "stream_push_parse": _PARSE,
     "stream_leaks_sink": """
@@ -374,10 +375,11 @@ BODIES = {
       FROM leak""",
     "stream_trends_sink": """
       SELECT library_name, language, count(*) AS n, count(DISTINCT repo_name) AS repos,
-             min(detected_at::DATE) AS first_day, max(detected_at::DATE) AS last_day
+             min(detected_at::DATE)::VARCHAR AS first_day,
+             max(detected_at::DATE)::VARCHAR AS last_day
       FROM trend GROUP BY ALL""",
     "stream_dual_sink": """
-      SELECT detected_date, coalesce(trends, 0) AS trends, coalesce(leaks, 0) AS leaks
+      SELECT detected_date::VARCHAR AS detected_date, coalesce(trends, 0) AS trends, coalesce(leaks, 0) AS leaks
       FROM (SELECT detected_at::DATE AS detected_date, count(*) AS trends FROM trend GROUP BY 1)
       FULL JOIN (SELECT detected_at::DATE AS detected_date, count(*) AS leaks FROM leak GROUP BY 1)
         USING (detected_date)""",

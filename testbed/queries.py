@@ -30,14 +30,16 @@ def query_as(name: str):
     return lambda fn: query(fn, name)
 
 
-def _plain(df: DataFrame, *times: str) -> DataFrame:
-    """Timestamps without a zone and scores to six places, for comparison."""
-    for name, kind in df.dtypes:
-        if kind == "timestamp" or name in times:
-            df = df.withColumn(name, F.col(name).cast("timestamp_ntz"))
-        elif kind == "double":
-            df = df.withColumn(name, F.round(name, 6))
-    return df
+def _plain(df: DataFrame) -> DataFrame:
+    """For comparison: timestamps without a zone, days as text, scores to six places."""
+    shown = {
+        "timestamp": lambda c: c.cast("timestamp_ntz"),
+        "date": lambda c: c.cast("string"),
+        "double": lambda c: F.round(c, 6),
+    }
+    return df.withColumns(
+        {name: shown[kind](F.col(name)) for name, kind in df.dtypes if kind in shown}
+    )
 
 
 # --- events -------------------------------------------------------------------
@@ -316,13 +318,13 @@ def llm_response_parse(spark, sf):
 
 @query
 def vibe_rows(spark, sf):
-    rows = binding.vibes(spark, sf)
+    rows = _plain(binding.vibes(spark, sf))
     return rows.withColumn("top_libraries", F.array_join("top_libraries", ","))
 
 
 @query
 def vibe_latest(spark, sf):
-    latest = reports.vibe_latest(binding.vibes(spark, sf))
+    latest = _plain(reports.vibe_latest(binding.vibes(spark, sf)))
     return latest.withColumn("top_libraries", F.array_join("top_libraries", ","))
 
 
@@ -397,11 +399,13 @@ def stream_leaks_sink(spark, sf):
 @query
 def stream_trends_sink(spark, sf):
     trends = tables.trends(spark, f"{_run_both_sinks(spark, sf)}/trends")
-    return trends.groupBy("library_name", "language").agg(
-        F.count("*").alias("n"),
-        F.count_distinct("repo_name").alias("repos"),
-        F.min("detected_date").alias("first_day"),
-        F.max("detected_date").alias("last_day"),
+    return _plain(
+        trends.groupBy("library_name", "language").agg(
+            F.count("*").alias("n"),
+            F.count_distinct("repo_name").alias("repos"),
+            F.min("detected_date").alias("first_day"),
+            F.max("detected_date").alias("last_day"),
+        )
     )
 
 
@@ -410,7 +414,8 @@ def stream_dual_sink(spark, sf):
     out = _run_both_sinks(spark, sf)
     leaks = _counted(tables.leaks(spark, f"{out}/leaks")).withColumnRenamed("n", "leaks")
     trends = _counted(tables.trends(spark, f"{out}/trends")).withColumnRenamed("n", "trends")
-    return trends.join(leaks, "detected_date", "full_outer").na.fill(0, ["leaks", "trends"])
+    both = trends.join(leaks, "detected_date", "full_outer").na.fill(0, ["leaks", "trends"])
+    return _plain(both)
 
 
 @query

@@ -22,7 +22,7 @@ def _cell(value):
     if value is None:
         return None
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
+        return None if math.isnan(value) else value + 0.0
     return value
 
 

@@ -72,33 +72,30 @@ def entropy_histogram(
 ) -> DataFrame:
     """Equal-width bins between the lowest and the highest score, empty bins included.
 
-    ``is_critical`` marks the bins that reach above the threshold. Scores are
-    counted per value first; range and bins then both read that one small shuffle.
+    ``is_critical`` marks the bins that reach above the threshold. The scores are
+    read twice, for their range and for the bins; only bin counts are shuffled.
     """
-    counts = (
-        entropy_distribution(leaks, as_of, hours)
-        .filter(F.col("entropy_score").isNotNull())
-        .groupBy("entropy_score")
-        .agg(F.count("*").alias("n"))
-    )
-    bounds = counts.agg(F.min("entropy_score").alias("low"), F.max("entropy_score").alias("high"))
-    low = bounds.select("low").scalar()
-    high = bounds.select("high").scalar()
+    scores = entropy_distribution(leaks, as_of, hours).filter(F.col("entropy_score").isNotNull())
+    bounds = scores.agg(F.min("entropy_score").alias("low"), F.max("entropy_score").alias("high"))
+    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
     # The highest score closes the last bin; a single score fills the first one.
     bucket = F.when(F.col("entropy_score") >= high, F.when(high > low, bins).otherwise(1)).otherwise(
         F.width_bucket("entropy_score", low, high, F.lit(bins))
     )
-    filled = counts.groupBy(bucket.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
-    spine = bounds.filter(F.col("low").isNotNull()).select(
-        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "low", "high"
-    )
-    width = (F.col("high") - F.col("low")) / bins
-    return spine.join(filled, "bin", "left").select(
-        "bin",
-        (F.col("low") + (F.col("bin") - 1) * width).alias("lo"),
-        (F.col("low") + F.col("bin") * width).alias("hi"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-        (F.col("low") + F.col("bin") * width > threshold).alias("is_critical"),
+    filled = scores.groupBy(bucket.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    every_bin = leaks.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    width = (high - low) / bins
+    upper = low + F.col("bin") * width
+    return (
+        every_bin.filter(low.isNotNull())
+        .join(filled, "bin", "left")
+        .select(
+            "bin",
+            (low + (F.col("bin") - 1) * width).alias("lo"),
+            upper.alias("hi"),
+            F.coalesce("n", F.lit(0)).alias("n"),
+            (upper > threshold).alias("is_critical"),
+        )
     )
 
 

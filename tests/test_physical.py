@@ -1,5 +1,6 @@
 """The plans Spark picks: pruned scans, map-side limits, no repeated or row-wise work."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -76,6 +77,14 @@ def test_texts_are_searched_once_and_scored_once(tables):
     assert plan(plans.parse_responses(answers)).count("from_json") == 1
 
 
+def test_histogram_reads_the_scores_twice(tables):
+    histogram = plans.entropy_histogram(tables["leaks"], NOW)
+    assert len(histogram.collect()) == 25
+    final = plan(histogram).split("\n+- == Initial Plan ==")[0]
+    assert len(set(re.findall(r"FileScan parquet \[(entropy_score#\d+)", final))) == 2
+    assert "hashpartitioning(entropy_score" not in final
+
+
 def test_limits_stay_below_the_noise_filter(tables):
     text = plan(plans.tech_trends_top(tables["trends"], ["aa"], NOW))
     first, noise, cut = (text.index(part) for part in ("limit=60", "NOT (lower(", "limit=300"))

@@ -78,7 +78,7 @@ def test_texts_are_searched_once_and_scored_once(tables):
 
 
 def test_histogram_reads_the_scores_twice(tables):
-    histogram = plans.entropy_histogram(tables["leaks"], NOW)
+    histogram = plans.entropy_histogram(tables["leaks"], NOW, hours=720)
     assert len(histogram.collect()) == 25
     final = plan(histogram).split("\n+- == Initial Plan ==")[0]
     assert len(set(re.findall(r"FileScan parquet \[(entropy_score#\d+)", final))) == 2

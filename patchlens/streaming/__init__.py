@@ -1,8 +1,8 @@
 from patchlens.streaming.jobs import (
     dedupe_stream,
     hourly_snapshot,
+    run_append,
     run_hourly,
-    run_parse,
     run_stream,
     stream_entropy_hourly,
 )
@@ -10,8 +10,8 @@ from patchlens.streaming.jobs import (
 __all__ = [
     "dedupe_stream",
     "hourly_snapshot",
+    "run_append",
     "run_hourly",
-    "run_parse",
     "run_stream",
     "stream_entropy_hourly",
 ]

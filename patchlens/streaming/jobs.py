@@ -20,10 +20,13 @@ BROADCAST_COMMITS = 500_000
 KEEP = StorageLevel.MEMORY_AND_DISK
 
 
-def file_findings(files: DataFrame, *extra: str) -> DataFrame:
-    """What each file tells, without its text: entropy, language and libraries."""
-    return with_entropy(with_libraries(files)).select(
-        "repo_name", "commit_sha", "entropy_score", "language", "libraries", *extra
+def file_findings(files: DataFrame, threshold: float, *extra: str) -> DataFrame:
+    """Files that leak or are manifests, without their text: entropy, language, libraries."""
+    telling = (F.col("entropy_score") > threshold) | F.col("language").isNotNull()
+    return (
+        with_entropy(with_libraries(files))
+        .filter(telling)
+        .select("repo_name", "commit_sha", "entropy_score", "language", "libraries", *extra)
     )
 
 
@@ -73,7 +76,7 @@ def _query_id(spark: SparkSession) -> str:
 
 def run_stream(
     push: DataFrame,
-    commits: DataFrame,
+    commits: DataFrame | Callable[[], DataFrame],
     out: str,
     checkpoint: str,
     threshold: float = LEAK_THRESHOLD,
@@ -89,9 +92,13 @@ def run_stream(
     Files are sorted only if ``clustered``; ``recluster`` does that for whole days.
 
     ``commits`` is the commit table, looked up by every micro-batch, or a stream
-    of new commits with a ``committed_at`` column. The stream is the form for
-    large volumes: files are analysed as they arrive, only the findings are kept
-    in state, and a push meets commits up to ``delay`` older or younger than it.
+    of new commits with a ``committed_at`` column. A frame over files keeps the
+    file list it was made with; pass a function, such as
+    ``lambda: read_commits(spark, path)``, for each micro-batch to see new files.
+
+    The stream is the form for large volumes: files are analysed as they arrive,
+    only the findings are kept in state, and a push meets commits up to ``delay``
+    older or younger than it.
     A stream join has no adaptive splitting, so the pushes of one commit are cut
     into ``salts`` parts by their time and each finding is held once per part.
     """
@@ -104,16 +111,19 @@ def run_stream(
     def look_up(batch: DataFrame, batch_id: int) -> None:
         known = batch.filter(F.col("name").isNotNull() & F.col("head").isNotNull())
         known = known.withColumnRenamed("pushed_at", "detected_at").persist(KEEP)
-        files = explode_files(_pushed_commits(known, commits))
-        # One pass over the texts feeds both tables. What is kept holds no text
-        # and one row per file, however often its commit is pushed.
-        findings = file_findings(files).persist(KEEP)
+        findings = None
         try:
+            table = commits() if callable(commits) else commits
+            files = explode_files(_pushed_commits(known, table))
+            # One pass over the texts feeds both tables. What is kept holds no text
+            # and one row per file, however often its commit is pushed.
+            findings = file_findings(files, threshold).persist(KEEP)
             leaks = enrich(known, leaks_in(findings, threshold))
             trends = trend_rows(enrich(known, manifests_in(findings)), "detected_at")
             store(trends, leaks, batch_id)
         finally:
-            findings.unpersist()
+            if findings is not None:
+                findings.unpersist()
             known.unpersist()
 
     def split(joined: DataFrame, batch_id: int) -> None:
@@ -125,14 +135,14 @@ def run_stream(
         finally:
             joined.unpersist()
 
-    if not commits.isStreaming:
+    if callable(commits) or not commits.isStreaming:
         return _start(push, look_up, checkpoint, trigger)
 
     salt = F.pmod(F.xxhash64("pushed_at"), F.lit(salts)).cast("int")
     pushed = push.withWatermark("pushed_at", delay).withColumn("salt", salt)
     files = explode_files(commits, "committed_at").withWatermark("committed_at", delay)
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    findings = file_findings(files, "committed_at").withColumn("part", every_salt)
+    findings = file_findings(files, threshold, "committed_at").withColumn("part", every_salt)
     near = F.expr(f"INTERVAL {delay}")
     joined = pushed.join(
         findings,
@@ -149,14 +159,14 @@ def run_stream(
     )
 
 
-def run_parse(push: DataFrame, out: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+def run_append(rows: DataFrame, out: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Store a stream's rows as they are, one folder per micro-batch."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         target = f"{out}/stream_id={_query_id(batch.sparkSession)}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(target)
 
-    return _start(push, store, checkpoint, trigger)
+    return _start(rows, store, checkpoint, trigger)
 
 
 def dedupe_stream(
@@ -182,7 +192,10 @@ def stream_entropy_hourly(leaks: DataFrame, delay: str = "1 hour") -> DataFrame:
 def run_hourly(
     leaks: DataFrame, out: str, checkpoint: str, trigger: str | None = None, delay: str = "1 hour"
 ) -> StreamingQuery:
-    """Keep ``out`` current: every micro-batch stores the hours it changed."""
+    """Keep ``out`` current: every micro-batch stores the few hours it changed.
+
+    Batches are told apart by number, so ``out`` belongs to this ``checkpoint``.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.repartition(1).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")

@@ -371,7 +371,7 @@ def stream_push_parse(spark, sf):
     out = scratch_path(configure(spark), "parse")
     messages = binding.to_mixed_messages(_event_stream(spark, sf))
     parsed = events.parse_messages(messages, "event_id")
-    _finish(jobs.run_parse(parsed, f"{out}/rows", f"{out}/checkpoint"))
+    _finish(jobs.run_append(parsed, f"{out}/rows", f"{out}/checkpoint"))
     rows = spark.read.schema(parsed.schema).parquet(f"{out}/rows")
     return _plain(rows.select("event_id", "name", "head", "pushed_at"))
 
@@ -423,7 +423,7 @@ def stream_dedupe(spark, sf):
     out = scratch_path(configure(spark), "dedupe")
     unique = jobs.dedupe_stream(_delivered_twice(_event_stream(spark, sf)), delay="31 days")
     kept = unique.select("event_id", "type", "created_at")
-    _finish(jobs.run_parse(kept, f"{out}/rows", f"{out}/checkpoint"))
+    _finish(jobs.run_append(kept, f"{out}/rows", f"{out}/checkpoint"))
     rows = spark.read.schema(kept.schema).parquet(f"{out}/rows")
     return _plain(rows.select("event_id", "type", "created_at"))
 

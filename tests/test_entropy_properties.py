@@ -5,7 +5,9 @@ from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from patchlens.functions import mask_sha
 from patchlens.operators import patch_entropy
 
 TEXT = st.text(
@@ -58,6 +60,14 @@ def test_order_and_whitespace_do_not_matter(spark, texts, random):
     assert all(map(close, scores(spark, texts, "arrow"), scores(spark, moved, "arrow")))
 
 
+@SLOW
+@given(hashes=st.lists(st.text("0123456789abcdef", min_size=9, max_size=40), min_size=1, max_size=20))
+def test_a_masked_hash_shows_eight_characters(spark, hashes):
+    rows = spark.createDataFrame([(h,) for h in hashes], "sha string")
+    masked = [r[0] for r in rows.select(mask_sha(F.col("sha"))).collect()]
+    assert masked == [h[:8] + "*" * 16 for h in hashes]
+
+
 def test_whole_texts_are_scored(spark):
     long = "a" * 300_000 + "b" * 300_000
     for method in ("arrow", "native"):

@@ -73,6 +73,20 @@ def test_messages_as_bytes_and_garbage(spark):
     assert parsed == [("a/b", "x")] + [(None, None)] * 4
 
 
+@pytest.mark.parametrize(
+    "message",
+    [
+        '{"name":"a/b","head":"x","pushed_at":"nonsense"}',
+        '{"name":"a/b","head":"x","pushed_at":{"at":1}}',
+        '{"name":"a/b","head":"x","repo":"text","payload":[1]}',
+        '{"repo":{"id":7,"name":"a/b","url":"u"},"payload":{"head":"x","size":[1]},"actor":{}}',
+    ],
+)
+def test_a_bad_field_does_not_lose_the_message(spark, message):
+    row = ops.parse_messages(spark.createDataFrame([(message,)], "value string")).first()
+    assert (row.name, row.head, row.pushed_at) == ("a/b", "x", None)
+
+
 def test_dedupe(events):
     assert ops.dedupe_pushes(events.unionByName(events)).count() == 6
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from patchlens import operators as ops
 from patchlens import plans, sources
 from patchlens.schemas import COMMIT
+from patchlens.streaming.jobs import file_findings
 
 NOW = datetime(2024, 1, 10)
 
@@ -71,6 +72,8 @@ def test_texts_are_searched_once_and_scored_once(tables):
     push = tables["leaks"].selectExpr("repo_name AS name", "commit_sha AS head")
     for leaks in (ops.detect_leaks(files), ops.enrich(push, ops.detect_leaks(files))):
         assert plan(leaks).count("ArrowEvalPython") == 1 and "BatchEvalPython" not in plan(leaks)
+    both = plan(file_findings(files, 4.5))
+    assert both.count("ArrowEvalPython") == 1 and both.count("regexp_extract_all") == 2
     leaks = plan(ops.detect_leaks(files))
     assert "Exchange" not in leaks
     answers = tables["commits"].select(F.col("sha").alias("response"))

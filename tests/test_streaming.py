@@ -15,7 +15,7 @@ from patchlens.streaming import (
     hourly_snapshot,
     jobs,
     run_hourly,
-    run_parse,
+    run_append,
     run_stream,
 )
 
@@ -98,6 +98,21 @@ def test_a_new_checkpoint_does_not_overwrite_the_old_output(spark, commits, tmp_
     assert sources.leaks(spark, f"{out}/leaks").count() == 2
 
 
+def test_each_batch_sees_the_commits_of_its_time(spark, commits, tmp_path):
+    inbox, out = tmp_path / "in", f"{tmp_path}/out"
+    put(spark, inbox, [("a/b", "s1", T0)])
+    put(spark, inbox, [("a/b", "s1", T0)])
+    seen = []
+
+    def table():
+        seen.append(1)
+        return commits.limit(0) if len(seen) == 1 else commits
+
+    finish(run_stream(stream(spark, inbox), table, out, f"{tmp_path}/checkpoint"))
+    assert len(seen) == 2
+    assert [r.batch_id for r in sources.leaks(spark, f"{out}/leaks").collect()] == [1]
+
+
 def test_stream_of_commits(spark, tmp_path):
     arrived, inbox, out = tmp_path / "commits", tmp_path / "in", f"{tmp_path}/out"
     rows = [
@@ -119,7 +134,7 @@ def test_parsed_messages_are_stored(spark, tmp_path):
     rows = [('{"name":"a/b","head":"x"}',), ("garbage",)]
     spark.createDataFrame(rows, "value string").write.parquet(str(inbox))
     messages = parse_messages(stream(spark, inbox, "value string"))
-    finish(run_parse(messages, f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+    finish(run_append(messages, f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
     stored = spark.read.parquet(f"{tmp_path}/out")
     assert bag(stored.fillna(""), "name", "head") == [("", ""), ("a/b", "x")]
 
@@ -130,7 +145,7 @@ def test_redelivered_pages_are_dropped_across_batches(spark, tmp_path):
     for _ in range(3):
         page.coalesce(1).write.mode("append").parquet(str(inbox))
     events = stream(spark, inbox, page.schema)
-    finish(run_parse(dedupe_stream(events), f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+    finish(run_append(dedupe_stream(events), f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
 
 

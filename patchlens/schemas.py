@@ -51,6 +51,10 @@ COMMIT = StructType(
     ]
 )
 
+# First digits of the hash, the folder level of a commit table laid out for lookups.
+SHA_PREFIX = StructField("sha_prefix", StringType())
+SHA_PREFIX_LENGTH = 3
+
 TECH_TRENDS = StructType(
     [
         StructField("library_name", StringType(), False),

@@ -1,5 +1,6 @@
 from patchlens.sources.sinks import (
     recluster,
+    write_commits,
     write_leaks,
     write_messages,
     write_trends,
@@ -25,6 +26,7 @@ __all__ = [
     "register_views",
     "trends",
     "vibes",
+    "write_commits",
     "write_leaks",
     "write_messages",
     "write_trends",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchlens.operators.constraints import require_not_null
+from patchlens.schemas import SHA_PREFIX, SHA_PREFIX_LENGTH
 
 TREND_COLUMNS = ("library_name", "language", "repo_name", "detected_at")
 TREND_CLUSTER = ("library_name", "language")
@@ -110,6 +111,18 @@ def recluster(
     )
 
 
+def write_commits(commits: DataFrame, path: str) -> None:
+    """Append commits to a table laid out for lookups by hash.
+
+    One folder per hash prefix: a micro-batch of few pushes then reads few of
+    the 4,096 folders instead of every patch. Made for large, infrequent appends.
+    """
+    prefix = F.substring("sha", 1, SHA_PREFIX_LENGTH)
+    rows = commits.select("repo_name", "sha", "files").withColumn(SHA_PREFIX.name, prefix)
+    rows = rows.hint("rebalance", SHA_PREFIX.name)
+    rows.write.mode("append").partitionBy(SHA_PREFIX.name).parquet(path)
+
+
 def write_vibes(df: DataFrame, path: str) -> None:
     """Append report rows, ``vibe_date`` defaulting to today."""
     known = F.col("vibe_date") if "vibe_date" in df.columns else F.lit(None)

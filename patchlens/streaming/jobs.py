@@ -11,6 +11,7 @@ from patchlens.lookups import LEAK_THRESHOLD
 from patchlens.operators.commits import enrich, explode_files
 from patchlens.operators.dependencies import trend_rows, with_libraries
 from patchlens.operators.scoring import with_entropy
+from patchlens.schemas import SHA_PREFIX, SHA_PREFIX_LENGTH
 from patchlens.sources.sinks import write_leaks, write_trends
 
 # A micro-batch's distinct commits are broadcast up to this many: about 100 bytes
@@ -41,9 +42,19 @@ def manifests_in(findings: DataFrame, *extra: str) -> DataFrame:
 
 
 def _pushed_commits(push: DataFrame, commits: DataFrame) -> DataFrame:
-    """The commits the batch pushes, each once, before any of their text is read twice."""
+    """The commits the batch pushes, each once, before any of their text is read twice.
+
+    Of a table laid out by hash prefix only the pushed prefixes are scanned.
+    """
     wanted = push.select("name", "head").distinct()
-    if wanted.count() <= BROADCAST_COMMITS:
+    if SHA_PREFIX.name in commits.columns:
+        prefix = F.substring("head", 1, SHA_PREFIX_LENGTH)
+        known = wanted.agg(F.count("*").alias("n"), F.collect_set(prefix).alias("prefixes")).first()
+        commits = commits.filter(F.col(SHA_PREFIX.name).isin(known.prefixes))
+        size = known.n
+    else:
+        size = wanted.count()
+    if size <= BROADCAST_COMMITS:
         wanted = F.broadcast(wanted)
     same = (commits["repo_name"] == wanted["name"]) & (commits["sha"] == wanted["head"])
     return commits.join(wanted, same, "left_semi")

@@ -98,6 +98,26 @@ def test_a_new_checkpoint_does_not_overwrite_the_old_output(spark, commits, tmp_
     assert sources.leaks(spark, f"{out}/leaks").count() == 2
 
 
+def test_a_prefixed_commit_table_is_read_by_prefix(spark, tmp_path):
+    hashes = [f"{i:03x}0" for i in range(20)]
+    rows = [("a/b", h, [("requirements.txt", f"+lib{h}")]) for h in hashes]
+    sources.write_commits(spark.createDataFrame(rows, COMMIT), f"{tmp_path}/commits")
+    commits = sources.read_commits(spark, f"{tmp_path}/commits", prefixed=True)
+    push = spark.createDataFrame([("a/b", hashes[3], T0), ("a/b", "fff", T0)], "name string, head string, pushed_at timestamp")
+    found = jobs._pushed_commits(push, commits)
+    assert [r.sha for r in found.collect()] == [hashes[3]]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [sha_prefix" in text
+    none = jobs._pushed_commits(push.limit(0), commits)
+    assert none.count() == 0
+
+    inbox, out = tmp_path / "in", f"{tmp_path}/out"
+    put(spark, inbox, [("a/b", hashes[3], T0), ("a/b", hashes[4], T0), ("x/y", hashes[5], T0)])
+    finish(run_stream(stream(spark, inbox), commits, out, f"{tmp_path}/checkpoint"))
+    found = bag(sources.trends(spark, f"{out}/trends"), "library_name")
+    assert found == [(f"lib{hashes[3]}",), (f"lib{hashes[4]}",)]
+
+
 def test_each_batch_sees_the_commits_of_its_time(spark, commits, tmp_path):
     inbox, out = tmp_path / "in", f"{tmp_path}/out"
     put(spark, inbox, [("a/b", "s1", T0)])

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import positional_index
+from patchlens.llm import jaccard_join, positional_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +31,8 @@ def op9_benchmark_decontamination(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op5_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"), words=3, percent=90)

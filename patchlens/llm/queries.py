@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import jaccard_join, positional_index
+from patchlens.llm import jaccard_join, language, positional_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,3 +36,8 @@ def op9_benchmark_decontamination(spark, sf_dir):
 @query
 def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.link_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))

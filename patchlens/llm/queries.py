@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import jaccard_join, language, positional_index
+from patchlens.llm import jaccard_join, language, positional_index, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,3 +41,8 @@ def op5_ngram_jaccard_join(spark, sf_dir):
 @query
 def op10_language_id(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import jaccard_join, language, positional_index, toxicity
+from patchlens.llm import jaccard_join, language, positional_index, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +46,9 @@ def op10_language_id(spark, sf_dir):
 @query
 def op1_toxicity(spark, sf_dir):
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

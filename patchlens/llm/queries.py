@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import jaccard_join, language, positional_index, suffix_dedup, toxicity
+from patchlens.llm import jaccard_join, language, packing, positional_index, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +53,8 @@ def op1_toxicity(spark, sf_dir):
 def op6_suffix_dedup(spark, sf_dir):
     kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_packing(spark, sf_dir):
+    return packing.pack_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

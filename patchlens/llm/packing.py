@@ -6,11 +6,12 @@ first. A piece is a sequence of its own, so no sequence crosses documents and no
 padding. Sequences of one length are numbered one after the other, a bucket for each length.
 """
 
+import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+import struct
+from collections.abc import Iterable, Iterator
 from functools import cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -21,53 +22,67 @@ from patchlens.llm.scratch import saved
 
 END = 0
 #: Pre-tokens a task remembers with their ids.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
-# Fixed values of the tokenizer's pre-tokenisation, for characters up to U+024F: contractions,
+# Fixed values of the tokenizer's pre-tokenisation, for characters up to U+00FF: contractions,
 # letters, numbers, other signs (each with one space before it), white space.
 _SPACE = r"\t-\r\x20\x85\xa0"
-_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _NUMBER = "0-9²³¹¼½¾"
 _PRETOKEN = (
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
     f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-#: Characters beyond that range, and the special token, take the tokenizer's own way.
-_OTHER = re.compile("[^\x00-ɏ]|<\\|endoftext\\|>")
+_FIND = re.compile(_PRETOKEN).findall
+_SPECIAL = "<|endoftext|>"
 
 
-class _Ids(dict):
-    """Pre-token to its ids as little-endian 32-bit numbers, encoded at first sight."""
+def _covered(text: str) -> bool:
+    """Whether the pattern covers a text: no special token in it, and no character beyond U+00FF."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return _SPECIAL not in text
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
 
-    def __missing__(self, token: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = np.array(self.tokenizer.encode(token, add_special_tokens=False).ids, "<u4").tobytes()
-        self[token] = ids
-        return ids
+def _packed(encodings: list) -> list[bytes]:
+    return [struct.pack(f"<{len(ids)}I", *ids) for e in encodings for ids in (e.ids,)]
 
 
-@cache
-def encoder(path: str) -> Callable[[str], bytes]:
-    """Whole text to ids (little-endian 32-bit), exactly as the byte-level BPE file at ``path`` encodes it.
+class Encoder:
+    """Whole texts to ids (little-endian 32-bit), exactly as the byte-level BPE file at ``path`` encodes them.
 
-    BPE never crosses a pre-token, so a text's ids are those of its pre-tokens, and a vocabulary
-    of pre-tokens repeats. What the pattern does not cover goes to the tokenizer whole.
+    BPE never crosses a pre-token, so a text's ids are those of its pre-tokens, and the
+    vocabulary of pre-tokens repeats: a block's new ones are encoded in one batch and remembered.
+    What the pattern does not cover goes to the tokenizer whole.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    find, ids = re.compile(_PRETOKEN).findall, _Ids(tokenizer)
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.ids: dict[str, bytes] = {}
 
-    def encode(text: str) -> bytes:
-        if _OTHER.search(text):
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(ids.__getitem__, find(text)))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(texts)
+        odd = [k for k, t in enumerate(texts) if not _covered(t)]
+        for k, ids in zip(odd, _packed(self.tokenizer.encode_batch([texts[k] for k in odd], add_special_tokens=False))):
+            out[k] = ids
+        found = [_FIND(t) if out[k] is None else [] for k, t in enumerate(texts)]
+        if len(self.ids) > REMEMBERED:
+            self.ids.clear()
+        new = list(set().union(*found).difference(self.ids))
+        self.ids.update(zip(new, _packed(self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+        known = self.ids.__getitem__
+        return [b"".join(map(known, f)) if out[k] is None else out[k] for k, f in enumerate(found)]
 
-    return encode
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each Python worker, so what it remembers serves all of the worker's tasks."""
+    return Encoder(path)
 
 
 def cuts(n: int, size: int) -> list[tuple[int, int]]:
@@ -90,7 +105,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 1024) -> DataFrame:
         raise ValueError("size must be a power of two")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
         count: dict[int, int] = {}
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
@@ -98,8 +113,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 1024) -> DataFrame:
             ids = batch.column("doc_id").to_pylist()
             for i, j in tb.blocks(sizes):
                 rows: list[tuple] = []
-                for doc_id, text in zip(ids[i:j], texts[i:j]):
-                    coded = encode(text) + END.to_bytes(4, "little")
+                for doc_id, coded in zip(ids[i:j], encode(texts[i:j])):
+                    coded += END.to_bytes(4, "little")
                     total = len(coded) // 4
                     for start, length in cuts(total, size):
                         place = count.get(length, 0)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Parts of text a task remembers with their counts.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 
 def unigram_vocabulary(model_file: str) -> list[tuple[str, float]]:

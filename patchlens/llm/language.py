@@ -224,33 +224,56 @@ def pooled(model: ByteGru, texts: list[bytes], most: int = 4096) -> np.ndarray:
     return total / np.maximum(size, 1)[:, None]
 
 
+def _labelled(batch: pa.RecordBatch, languages: list[str], model: ByteGru | None) -> tuple[list[str], list[float]]:
+    """Language and score of each row of a batch with text and _lettered."""
+    texts = tb.text_bytes(batch.column("text").cast(pa.string()))
+    letters = batch.column("_lettered").to_pylist()
+    names, scores = [], []
+    for i, j in tb.blocks(texts):
+        part = [t if x else b"" for t, x in zip(texts[i:j], letters[i:j])]
+        p = np.zeros((j - i, 1)) if model is None else pooled(model, part)
+        best = p.argmax(axis=1)
+        for k in range(j - i):
+            known = model is not None and letters[i + k]
+            names.append(languages[best[k]] if known else UNKNOWN)
+            scores.append(min(1.0, float(p[k, best[k]])) if known else 0.0)
+    return names, scores
+
+
+def _lettered():
+    return F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, languages: list[str], model: ByteGru | None) -> DataFrame:
-    """docs' doc_id and text with lang_pred and score (mean probability of lang_pred, 0 to 1).
+    """doc_id, lang_pred and score (mean probability of lang_pred, 0 to 1) of each row of docs (doc_id, text).
 
     A text that is null or has no letter is UNKNOWN with score 0, as is any text without a network.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, letters = tb.text_bytes(batch.column("text")), batch.column("lettered").to_pylist()
-            names, scores = [], []
-            for i, j in tb.blocks(texts):
-                part = [t if x else b"" for t, x in zip(texts[i:j], letters[i:j])]
-                if model is None:
-                    p, best = np.zeros((j - i, 1)), np.zeros(j - i, int)
-                else:
-                    p = pooled(model, part)
-                    best = p.argmax(axis=1)
-                for k in range(j - i):
-                    known = model is not None and bool(letters[i + k])
-                    names.append(languages[best[k]] if known else UNKNOWN)
-                    scores.append(min(1.0, float(p[k, best[k]])) if known else 0.0)
-            arrays = [batch.column("doc_id"), batch.column("text"), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text", "lang_pred", "score"])
-
-    narrow = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    lettered = narrow.withColumn("lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return lettered.mapInArrow(run, "doc_id bigint, text string, lang_pred string, score double")
+            names, scores = _labelled(batch, languages, model)
+            arrays = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score"])
+
+    narrow = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), _lettered().alias("_lettered"))
+    return narrow.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
+
+
+def in_a_language(docs: DataFrame, languages: list[str], model: ByteGru | None, least: float) -> DataFrame:
+    """docs without the rows that are UNKNOWN or score below ``least``; all columns stay.
+
+    A column named _lettered is not allowed.
+    """
+    columns = docs.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = _labelled(batch, languages, model)
+            keep = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
+            yield batch.select(columns).filter(pa.array(keep, pa.bool_()))
+
+    return docs.withColumn("_lettered", _lettered()).mapInArrow(run, docs.schema)
 
 
 def identify(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:

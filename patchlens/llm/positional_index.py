@@ -313,3 +313,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = 13, one_in
         n_hit.alias("n_hit"),
         F.sort_array(F.col("items").cast("array<string>")).alias("items"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, words: int = 13, one_in: int = 20) -> DataFrame:
+    """docs without contaminated rows; all columns stay. A text alone decides, so equal texts share a verdict."""
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    verdicts = contamination(docs.select(text_hash.alias("doc_id"), "text"), benchmark, words, one_in)
+    bad = verdicts.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, text_hash == F.col("_bad"), "left_anti")

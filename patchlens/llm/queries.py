@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import jaccard_join, language, packing, positional_index, suffix_dedup, token_counts, toxicity
+from patchlens.llm import jaccard_join, language, line_dedup, packing, positional_index, suffix_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,7 +36,8 @@ def op9_benchmark_decontamination(spark, sf_dir):
 
 @query
 def op5_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_join.link_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+    found = jaccard_join.link_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query
@@ -63,3 +64,9 @@ def op8_packing(spark, sf_dir):
 @query
 def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op7_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", "text")

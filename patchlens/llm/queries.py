@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import jaccard_join, language, line_dedup, packing, positional_index, suffix_dedup, token_counts, toxicity
+from patchlens.llm import jaccard_join, language, line_dedup, lsh_forest, packing, positional_index, suffix_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +70,9 @@ def op4_token_counts(spark, sf_dir):
 def op7_line_dedup(spark, sf_dir):
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query
+def op3_approximate_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return lsh_forest.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import jaccard_join, language, line_dedup, lsh_forest, packing, positional_index, suffix_dedup, token_counts, toxicity
+from patchlens.llm import (
+    jaccard_join,
+    language,
+    line_dedup,
+    lsh_forest,
+    packing,
+    positional_index,
+    secret_scan,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +87,15 @@ def op7_line_dedup(spark, sf_dir):
 def op3_approximate_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return lsh_forest.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@query
+def op2_secret_scan(spark, sf_dir):
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        *(secret_scan.count_kind(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secret_scan.as_text(base), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("spans")).alias("spans"),
+    )

@@ -21,8 +21,8 @@ from patchlens.llm import textblocks as tb
 from patchlens.llm.scratch import saved
 
 END = 0
-#: Pre-tokens a task remembers with their ids.
-REMEMBERED = 300_000
+#: Pre-tokens a worker remembers with their ids, in each of two halves.
+REMEMBERED = 350_000
 
 # Fixed values of the tokenizer's pre-tokenisation, for characters up to U+00FF: contractions,
 # letters, numbers, other signs (each with one space before it), white space.
@@ -64,6 +64,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
@@ -71,9 +72,12 @@ class Encoder:
         for k, ids in zip(odd, _packed(self.tokenizer.encode_batch([texts[k] for k in odd], add_special_tokens=False))):
             out[k] = ids
         found = [_FIND(t) if out[k] is None else [] for k, t in enumerate(texts)]
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-        new = list(set().union(*found).difference(self.ids))
+        if len(self.ids) > REMEMBERED:  # what is used again returns from the older half
+            self.older, self.ids = self.ids, {}
+        new = set().union(*found).difference(self.ids)
+        again = new.intersection(self.older)
+        self.ids.update((w, self.older[w]) for w in again)
+        new = list(new - again)
         self.ids.update(zip(new, _packed(self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
         known = self.ids.__getitem__
         return [b"".join(map(known, f)) if out[k] is None else out[k] for k, f in enumerate(found)]

@@ -93,5 +93,9 @@ def observe_pushes(events: DataFrame, observation: Observation | str = "pushes")
 
 
 def dedupe_pushes(events: DataFrame, key: str = "event_id") -> DataFrame:
-    """One row per event, however often its page was delivered."""
-    return events.dropDuplicates([key])
+    """One row per event, however often its page was delivered.
+
+    Events without a key are nobody's re-delivery and stay.
+    """
+    unique = events.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    return unique.unionByName(events.filter(F.col(key).isNull()))

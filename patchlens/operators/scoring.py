@@ -75,7 +75,7 @@ def detect_leaks(files: DataFrame, threshold: float = LEAK_THRESHOLD) -> DataFra
 
 
 def token_entropy(
-    files: DataFrame, threshold: float = LEAK_THRESHOLD, min_len: int = 20
+    files: DataFrame, threshold: float = LEAK_THRESHOLD, min_len: int = 0
 ) -> DataFrame:
     """Single tokens of a patch that score above the threshold, one row per occurrence."""
     tokens = files.select(

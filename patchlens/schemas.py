@@ -1,4 +1,4 @@
-"""Explicit schemas; nothing in the engine infers one."""
+"""Explicit schemas; nothing in the engine infers one. Names of table and message columns are fixed values."""
 
 from pyspark.sql.types import (
     ArrayType,
@@ -24,6 +24,20 @@ RAW_EVENT = StructType(
     ]
 )
 
+# The feed's own name for an event's key.
+FEED_ID = StructField("id", StringType())
+
+# What is kept of a commit's file: scores and names instead of its text.
+FINDING = StructType(
+    [
+        StructField("repo_name", StringType()),
+        StructField("commit_sha", StringType()),
+        StructField("entropy_score", DoubleType()),
+        StructField("language", StringType()),
+        StructField("libraries", ArrayType(StringType())),
+    ]
+)
+
 # Both message shapes at once: the flat one and the raw event.
 PUSH_MESSAGE = StructType(
     [

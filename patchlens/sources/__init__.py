@@ -1,6 +1,7 @@
 from patchlens.sources.sinks import (
     recluster,
     write_commits,
+    write_findings,
     write_leaks,
     write_messages,
     write_trends,
@@ -11,6 +12,7 @@ from patchlens.sources.tables import (
     leaks,
     read_commits,
     read_events,
+    read_findings,
     register_views,
     trends,
     vibes,
@@ -21,12 +23,14 @@ __all__ = [
     "leaks",
     "read_commits",
     "read_events",
+    "read_findings",
     "read_push_stream",
     "recluster",
     "register_views",
     "trends",
     "vibes",
     "write_commits",
+    "write_findings",
     "write_leaks",
     "write_messages",
     "write_trends",

@@ -6,10 +6,13 @@ therefore leaves its rows once. A query started afresh has another id and never
 overwrites the batches of the one before.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchlens.operators.constraints import require_not_null
+from patchlens.operators.dependencies import trend_rows
 from patchlens.schemas import SHA_PREFIX, SHA_PREFIX_LENGTH
 
 TREND_COLUMNS = ("library_name", "language", "repo_name", "detected_at")
@@ -39,6 +42,7 @@ def _write_facts(
     batch_id: int | None,
     stream_id: str | None,
     clustered: bool,
+    expand: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     # Rebalancing brings a day's rows together but, unlike a hash repartition,
     # lets AQE split what is too large for one task and merge what is too small.
@@ -46,7 +50,14 @@ def _write_facts(
     # day and may come from one task, so a day is cut into parts beforehand. The
     # part depends on the row alone: a recomputed task sends it to the same place.
     part = F.pmod(F.xxhash64(*df.columns), F.lit(DAY_PARTS))
-    rows = df.withColumn("_part", part).hint("rebalance", "detected_date", "_part").drop("_part")
+    rows = df.withColumn("_part", part)
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows = rows.hint("rebalance", "detected_date", "_part")
+    else:  # as below a stateful stream, where the hint has no effect
+        rows = rows.repartition("detected_date", "_part")
+    rows = rows.drop("_part")
+    if expand:  # after the shuffle, which then moves one row instead of one for each name
+        rows = expand(rows)
     if clustered:
         rows = rows.sortWithinPartitions("detected_date", *cluster)
     if batch_id is None:
@@ -66,11 +77,16 @@ def write_trends(
 ) -> None:
     """Append trends, or put them in the place of batch ``batch_id``.
 
+    ``df`` has a row for each name, or manifests with their ``libraries`` still unexploded.
     ``clustered`` sorts each file by library and language, for its statistics to
     prune by. A micro-batch may leave that to ``recluster``.
     """
-    rows = require_not_null(_stamped(df, TREND_COLUMNS), ["library_name"])
-    _write_facts(rows, path, TREND_CLUSTER, batch_id, stream_id, clustered)
+    if "libraries" in df.columns:
+        rows = _stamped(df, ("libraries", *TREND_COLUMNS[1:]))
+        expand = lambda held: trend_rows(held, "detected_at", "detected_date")
+    else:
+        rows, expand = require_not_null(_stamped(df, TREND_COLUMNS), ["library_name"]), None
+    _write_facts(rows, path, TREND_CLUSTER, batch_id, stream_id, clustered, expand)
 
 
 def write_leaks(
@@ -123,6 +139,14 @@ def write_commits(commits: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy(SHA_PREFIX.name).parquet(path)
 
 
+def write_findings(findings: DataFrame, path: str) -> None:
+    """Append the findings of new commits, one folder per hash prefix."""
+    prefix = F.substring("commit_sha", 1, SHA_PREFIX_LENGTH)
+    rows = findings.select("repo_name", "commit_sha", "entropy_score", "language", "libraries")
+    rows = rows.withColumn(SHA_PREFIX.name, prefix).hint("rebalance", SHA_PREFIX.name)
+    rows.write.mode("append").partitionBy(SHA_PREFIX.name).parquet(path)
+
+
 def write_vibes(df: DataFrame, path: str) -> None:
     """Append report rows, ``vibe_date`` defaulting to today."""
     known = F.col("vibe_date") if "vibe_date" in df.columns else F.lit(None)

@@ -1,4 +1,5 @@
 from patchlens.streaming.jobs import (
+    commit_findings,
     dedupe_stream,
     hourly_snapshot,
     run_append,
@@ -8,6 +9,7 @@ from patchlens.streaming.jobs import (
 )
 
 __all__ = [
+    "commit_findings",
     "dedupe_stream",
     "hourly_snapshot",
     "run_append",

@@ -8,16 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from patchlens.lookups import LEAK_THRESHOLD
-from patchlens.operators.commits import enrich, explode_files
-from patchlens.operators.dependencies import trend_rows, with_libraries
+from patchlens.operators.commits import explode_files
+from patchlens.operators.dependencies import with_libraries
 from patchlens.operators.scoring import with_entropy
 from patchlens.schemas import SHA_PREFIX, SHA_PREFIX_LENGTH
 from patchlens.sources.sinks import write_leaks, write_trends
 
-# A micro-batch's distinct commits are broadcast up to this many: about 100 bytes
-# each, some 50 MB. A larger batch is joined by shuffling instead.
-BROADCAST_COMMITS = 500_000
-
 KEEP = StorageLevel.MEMORY_AND_DISK
 
 
@@ -41,23 +37,25 @@ def manifests_in(findings: DataFrame, *extra: str) -> DataFrame:
     return manifests.select("repo_name", "commit_sha", "language", "libraries", *extra)
 
 
-def _pushed_commits(push: DataFrame, commits: DataFrame) -> DataFrame:
-    """The commits the batch pushes, each once, before any of their text is read twice.
+def commit_findings(commits: DataFrame, threshold: float = LEAK_THRESHOLD) -> DataFrame:
+    """The findings of commits: some hundred bytes for each telling file instead of its text.
+
+    Store them by ``write_findings`` when commits arrive. Micro-batches then join them, and no
+    text is scored again because its commit is pushed again.
+    """
+    return file_findings(explode_files(commits), threshold)
+
+
+def _pushed_findings(push: DataFrame, findings: DataFrame) -> DataFrame:
+    """Pushes with the findings of their commits, by a plain join of narrow rows.
 
-    Of a table laid out by hash prefix only the pushed prefixes are scanned.
+    Where the findings are laid out by hash prefix, the join is on the prefix as well, so that
+    Spark prunes their folders by the pushed prefixes at run time.
     """
-    wanted = push.select("name", "head").distinct()
-    if SHA_PREFIX.name in commits.columns:
-        prefix = F.substring("head", 1, SHA_PREFIX_LENGTH)
-        known = wanted.agg(F.count("*").alias("n"), F.collect_set(prefix).alias("prefixes")).first()
-        commits = commits.filter(F.col(SHA_PREFIX.name).isin(known.prefixes))
-        size = known.n
-    else:
-        size = wanted.count()
-    if size <= BROADCAST_COMMITS:
-        wanted = F.broadcast(wanted)
-    same = (commits["repo_name"] == wanted["name"]) & (commits["sha"] == wanted["head"])
-    return commits.join(wanted, same, "left_semi")
+    same = (push["name"] == findings["repo_name"]) & (push["head"] == findings["commit_sha"])
+    if SHA_PREFIX.name in findings.columns:
+        same &= F.substring(push["head"], 1, SHA_PREFIX_LENGTH) == findings[SHA_PREFIX.name]
+    return push.join(findings, same, "inner").drop("name", "head", SHA_PREFIX.name)
 
 
 def _trigger(interval: str | None) -> dict:
@@ -102,55 +100,45 @@ def run_stream(
     Without a ``trigger`` interval the query takes what is there and stops.
     Files are sorted only if ``clustered``; ``recluster`` does that for whole days.
 
-    ``commits`` is the commit table, looked up by every micro-batch, or a stream
-    of new commits with a ``committed_at`` column. A frame over files keeps the
-    file list it was made with; pass a function, such as
-    ``lambda: read_commits(spark, path)``, for each micro-batch to see new files.
+    ``commits`` is what every micro-batch looks up: a table of findings
+    (``write_findings``), or the commit table, whose texts each micro-batch then
+    scores. It may also be a stream of new commits with a ``committed_at`` column.
+    A frame over files keeps the file list it was made with; pass a function, such
+    as ``lambda: read_findings(spark, path)``, for each micro-batch to see new files.
 
     The stream is the form for large volumes: files are analysed as they arrive,
     only the findings are kept in state, and a push meets commits up to ``delay``
     older or younger than it.
-    A stream join has no adaptive splitting, so the pushes of one commit are cut
-    into ``salts`` parts by their time and each finding is held once per part.
+    A push without a time has its batch's. A stream join has no adaptive splitting,
+    so the pushes of one commit are cut into ``salts`` parts by all their columns
+    (pass the event's id along) and each finding is held once per part.
     """
 
-    def store(trends: DataFrame, leaks: DataFrame, batch_id: int) -> None:
-        stream_id = _query_id(trends.sparkSession)
-        write_trends(trends, f"{out}/trends", batch_id, stream_id, clustered)
-        write_leaks(leaks, f"{out}/leaks", batch_id, stream_id, clustered)
-
-    def look_up(batch: DataFrame, batch_id: int) -> None:
-        known = batch.filter(F.col("name").isNotNull() & F.col("head").isNotNull())
-        known = known.withColumnRenamed("pushed_at", "detected_at").persist(KEEP)
-        findings = None
-        try:
-            table = commits() if callable(commits) else commits
-            files = explode_files(_pushed_commits(known, table))
-            # One pass over the texts feeds both tables. What is kept holds no text
-            # and one row per file, however often its commit is pushed.
-            findings = file_findings(files, threshold).persist(KEEP)
-            leaks = enrich(known, leaks_in(findings, threshold))
-            trends = trend_rows(enrich(known, manifests_in(findings)), "detected_at")
-            store(trends, leaks, batch_id)
-        finally:
-            if findings is not None:
-                findings.unpersist()
-            known.unpersist()
-
     def split(joined: DataFrame, batch_id: int) -> None:
+        stream_id = _query_id(joined.sparkSession)
         joined.persist(KEEP)
         try:
+            manifests = manifests_in(joined, "detected_at")
+            write_trends(manifests, f"{out}/trends", batch_id, stream_id, clustered)
             leaks = leaks_in(joined, threshold, "detected_at")
-            trends = trend_rows(manifests_in(joined, "detected_at"), "detected_at")
-            store(trends, leaks, batch_id)
+            write_leaks(leaks, f"{out}/leaks", batch_id, stream_id, clustered)
         finally:
             joined.unpersist()
 
+    def look_up(batch: DataFrame, batch_id: int) -> None:
+        known = batch.filter(F.col("name").isNotNull() & F.col("head").isNotNull())
+        table = commits() if callable(commits) else commits
+        findings = commit_findings(table, threshold) if "files" in table.columns else table
+        split(_pushed_findings(known.withColumnRenamed("pushed_at", "detected_at"), findings), batch_id)
+
     if callable(commits) or not commits.isStreaming:
         return _start(push, look_up, checkpoint, trigger)
 
-    salt = F.pmod(F.xxhash64("pushed_at"), F.lit(salts)).cast("int")
-    pushed = push.withWatermark("pushed_at", delay).withColumn("salt", salt)
+    salt = F.pmod(F.xxhash64(*push.columns), F.lit(salts)).cast("int")
+    timed = push.withColumn("salt", salt).withColumn(
+        "pushed_at", F.coalesce("pushed_at", F.current_timestamp())
+    )
+    pushed = timed.withWatermark("pushed_at", delay)
     files = explode_files(commits, "committed_at").withWatermark("committed_at", delay)
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     findings = file_findings(files, threshold, "committed_at").withColumn("part", every_salt)
@@ -183,8 +171,13 @@ def run_append(rows: DataFrame, out: str, checkpoint: str, trigger: str | None =
 def dedupe_stream(
     push: DataFrame, key: str = "event_id", time: str = "created_at", delay: str = "1 hour"
 ) -> DataFrame:
-    """Drop re-deliveries of an event for at least ``delay``; state older than that goes."""
-    return push.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    """Drop re-deliveries of an event for at least ``delay``; state older than that goes.
+
+    Events without a key are nobody's re-delivery and stay.
+    """
+    timed = push.withWatermark(time, delay)
+    keyed = timed.filter(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    return keyed.unionByName(timed.filter(F.col(key).isNull()))
 
 
 def stream_entropy_hourly(leaks: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -209,7 +202,7 @@ def run_hourly(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.repartition(1).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return _start(stream_entropy_hourly(leaks, delay), store, checkpoint, trigger, "update")
 

@@ -12,10 +12,12 @@ from patchlens.operators.dependencies import trend_rows, with_libraries
 from patchlens.operators.events import JSON_TIME, flatten_push
 from patchlens.operators.scoring import detect_leaks
 from patchlens.plans.reports import parse_responses, vibe_rows
-from patchlens.session import configure, spread
+from patchlens.session import configure
 
 # Few of the given texts pass 4.5 bits; 4.0 fills the reports.
 THRESHOLD = 4.0
+# Single tokens are shorter.
+TOKEN_THRESHOLD = 3.5
 
 NOISE = ("the", "of", "and")
 SEEDS = {
@@ -33,6 +35,15 @@ SCHEMAS = {
 }
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Fan the one-file test tables, which are a split or a few, out over the cores of a test machine.
+
+    Eight splits are about a gigabyte; anything larger is left as it is scanned.
+    """
+    cores = min(8, df.sparkSession.sparkContext.defaultParallelism)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "doc_id")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -121,7 +132,7 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("src/main.py").alias("filename"), F.when(doc_id % 50 != 0, text).alias("patch")
     )
     added = F.struct(manifest.alias("filename"), patch.alias("patch"))
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         _repo(doc_id).alias("repo_name"), _sha(doc_id).alias("sha"), F.array(source, added).alias("files")
     )
 
@@ -178,7 +189,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("\n "), good))
     )
     days = (doc_id % 28).cast("int")
-    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    documents = spread(table(spark, sf_dir, "documents"))
     clean = F.trim(F.regexp_replace("text", "[^A-Za-z0-9]+", " "))
     return documents.withColumn("words", clean).select(
         "doc_id",

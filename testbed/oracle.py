@@ -1,6 +1,6 @@
 """DuckDB twins of the queries, written independently of the Spark plans."""
 
-from testbed.binding import NOISE, SEEDS, THRESHOLD
+from testbed.binding import NOISE, SEEDS, THRESHOLD, TOKEN_THRESHOLD
 
 # Python's whitespace as an RE2 class.
 WS = (
@@ -155,7 +155,7 @@ token AS (
   FROM (SELECT repo_name, commit_sha,
                unnest(regexp_split_to_array(patch, '[\\s\\x{{0b}}"''=:,;()]+')) AS token
         FROM file)
-  WHERE length(token) >= 20),
+  WHERE length(token) > 0),
 token_score AS ({_entropy('token', 'id, repo_name, commit_sha, token', 'token')})
 """
 
@@ -250,7 +250,7 @@ BODIES = {
     "leak_detect": "SELECT repo_name, commit_sha, round(h, 6) AS entropy_score FROM found",
     "token_entropy": f"""
       SELECT repo_name, commit_sha, token, round(h, 6) AS entropy_score FROM token_score
-      WHERE h > {THRESHOLD}""",
+      WHERE h > {TOKEN_THRESHOLD}""",
     "manifest_kind": """
       SELECT commit_sha, filename,
              CASE WHEN contains(filename, 'requirements.txt') THEN 'Python'
@@ -387,4 +387,12 @@ BODIES = {
     "stream_entropy_hourly": _HOURLY,
 }
 
+BODIES |= {
+    "stream_findings_sink": BODIES["stream_leaks_sink"],
+    "feed_dedupe": BODIES["push_dedupe"],
+    "commit_table_lookup": BODIES["leak_detect"],
+    "vibe_table_roundtrip": BODIES["vibe_rows"],
+    "masked_view_sql": BODIES["public_masked_view"],
+}
+
 ORACLE = {name: CTES + body for name, body in BODIES.items()}

@@ -16,7 +16,7 @@ from patchlens.session import configure, scratch_path
 from patchlens.sources import sinks, streams, tables
 from patchlens.streaming import jobs
 from testbed import binding
-from testbed.binding import NOISE, SEEDS, THRESHOLD
+from testbed.binding import NOISE, SEEDS, THRESHOLD, TOKEN_THRESHOLD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -150,7 +150,7 @@ def leak_detect(spark, sf):
 
 @query
 def token_entropy(spark, sf):
-    return _plain(scoring.token_entropy(binding.files(spark, sf), THRESHOLD))
+    return _plain(scoring.token_entropy(binding.files(spark, sf), TOKEN_THRESHOLD))
 
 
 @query_as("manifest_kind")
@@ -356,8 +356,7 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
         spark,
         "parquet",
         schema=binding.table(spark, sf, "events").schema,
-        path=sf,
-        pathGlobFilter="events.parquet",
+        path=f"{sf}/events.parque[t]",  # a glob, so that a file and a folder of files are read alike
     )
     return binding.to_raw_events(stream, documents)
 
@@ -396,6 +395,53 @@ def stream_leaks_sink(spark, sf):
     return _plain(leaks.select("repo_name", "commit_sha", "entropy_score", "detected_at"))
 
 
+@query
+def stream_findings_sink(spark, sf):
+    """The leaks sink over findings stored once, by hash prefix, instead of the commits' texts."""
+    out = scratch_path(configure(spark), "findings")
+    sinks.write_findings(jobs.commit_findings(binding.commits(spark, sf), THRESHOLD), f"{out}/findings")
+    pushes = events.flatten_push(_event_stream(spark, sf))
+    found = tables.read_findings(spark, f"{out}/findings")
+    _finish(jobs.run_stream(pushes, found, out, f"{out}/checkpoint", threshold=THRESHOLD))
+    leaks = tables.leaks(spark, f"{out}/leaks")
+    return _plain(leaks.select("repo_name", "commit_sha", "entropy_score", "detected_at"))
+
+
+@query
+def feed_dedupe(spark, sf):
+    """The given events as the feed's pages, delivered twice, read and de-duplicated."""
+    out = scratch_path(configure(spark), "feed")
+    pages = _delivered_twice(binding.raw_events(spark, sf)).withColumnRenamed("event_id", "id")
+    pages.withColumn("id", F.col("id").cast("string")).write.json(
+        f"{out}/pages", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    )
+    unique = events.dedupe_pushes(tables.read_events(spark, f"{out}/pages"))
+    return _plain(unique.select("event_id", "type", "created_at"))
+
+
+@query
+def commit_table_lookup(spark, sf):
+    """Leaks from a commit table stored by hash prefix and read back."""
+    out = scratch_path(configure(spark), "commits")
+    sinks.write_commits(binding.commits(spark, sf), f"{out}/commits")
+    stored = tables.read_commits(spark, f"{out}/commits", prefixed=True)
+    return _plain(scoring.detect_leaks(commit_ops.explode_files(stored), THRESHOLD))
+
+
+@query
+def vibe_table_roundtrip(spark, sf):
+    out = scratch_path(configure(spark), "vibes")
+    sinks.write_vibes(binding.vibes(spark, sf), f"{out}/vibes")
+    rows = _plain(tables.vibes(spark, f"{out}/vibes"))
+    return rows.withColumn("top_libraries", F.array_join("top_libraries", ","))
+
+
+@query
+def masked_view_sql(spark, sf):
+    tables.register_views(leak_table=binding.leaks(spark, sf))
+    return _plain(spark.sql("SELECT * FROM v_public_security_stream"))
+
+
 @query
 def stream_trends_sink(spark, sf):
     trends = tables.trends(spark, f"{_run_both_sinks(spark, sf)}/trends")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from patchlens import sources
 from patchlens.operators import commits as commit_ops
-from patchlens.operators import detect_leaks, enrich, parse_messages
+from patchlens.operators import dedupe_pushes, detect_leaks, enrich, parse_messages
 from patchlens.operators.dependencies import trend_rows, with_libraries
 from patchlens.schemas import COMMIT, DETECTED_LEAKS
 from patchlens.streaming import (
@@ -62,16 +62,19 @@ LEAK = "repo_name", "commit_sha", "entropy_score", "detected_at"
 TREND = "library_name", "language", "repo_name", "detected_at"
 
 
-@pytest.mark.parametrize("broadcast_up_to", [0, 500_000])
-def test_stream_equals_batch_over_restarts(spark, commits, tmp_path, monkeypatch, broadcast_up_to):
-    monkeypatch.setattr(jobs, "BROADCAST_COMMITS", broadcast_up_to)
+@pytest.mark.parametrize("stored", [False, True])
+def test_stream_equals_batch_over_restarts(spark, commits, tmp_path, stored):
+    known = commits
+    if stored:
+        sources.write_findings(jobs.commit_findings(commits), f"{tmp_path}/findings")
+        known = sources.read_findings(spark, f"{tmp_path}/findings")
     inbox, out, checkpoint = tmp_path / "in", f"{tmp_path}/out", f"{tmp_path}/checkpoint"
     first = [("a/b", "s1", T0), ("a/b", "s1", T0), ("c/d", "s2", T0), ("gone", "s9", T0), (None, None, None)]
     put(spark, inbox, first)
     put(spark, inbox, [("a/b", "s1", T0 + timedelta(days=1))])
 
     def run():
-        finish(run_stream(stream(spark, inbox), commits, out, checkpoint))
+        finish(run_stream(stream(spark, inbox), known, out, checkpoint))
 
     def check():
         leaks, trends = batch_result(spark.read.parquet(str(inbox)), commits, 4.5)
@@ -98,26 +101,45 @@ def test_a_new_checkpoint_does_not_overwrite_the_old_output(spark, commits, tmp_
     assert sources.leaks(spark, f"{out}/leaks").count() == 2
 
 
-def test_a_prefixed_commit_table_is_read_by_prefix(spark, tmp_path):
+def test_stored_findings_are_joined_without_their_texts(spark, tmp_path):
     hashes = [f"{i:03x}0" for i in range(20)]
     rows = [("a/b", h, [("requirements.txt", f"+lib{h}")]) for h in hashes]
-    sources.write_commits(spark.createDataFrame(rows, COMMIT), f"{tmp_path}/commits")
-    commits = sources.read_commits(spark, f"{tmp_path}/commits", prefixed=True)
-    push = spark.createDataFrame([("a/b", hashes[3], T0), ("a/b", "fff", T0)], "name string, head string, pushed_at timestamp")
-    found = jobs._pushed_commits(push, commits)
-    assert [r.sha for r in found.collect()] == [hashes[3]]
+    sources.write_findings(jobs.commit_findings(spark.createDataFrame(rows, COMMIT)), f"{tmp_path}/findings")
+    findings = sources.read_findings(spark, f"{tmp_path}/findings")
+    schema = "name string, head string, pushed_at timestamp"
+    push = spark.createDataFrame([("a/b", hashes[3], T0), ("a/b", "fff", T0)], schema)
+    found = jobs._pushed_findings(push, findings)
+    assert [r.commit_sha for r in found.collect()] == [hashes[3]]
     text = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [sha_prefix" in text
-    none = jobs._pushed_commits(push.limit(0), commits)
-    assert none.count() == 0
+    assert "patch" not in text and "sha_prefix" in text
+    assert jobs._pushed_findings(push.limit(0), findings).count() == 0
 
     inbox, out = tmp_path / "in", f"{tmp_path}/out"
     put(spark, inbox, [("a/b", hashes[3], T0), ("a/b", hashes[4], T0), ("x/y", hashes[5], T0)])
-    finish(run_stream(stream(spark, inbox), commits, out, f"{tmp_path}/checkpoint"))
+    finish(run_stream(stream(spark, inbox), findings, out, f"{tmp_path}/checkpoint"))
     found = bag(sources.trends(spark, f"{out}/trends"), "library_name")
     assert found == [(f"lib{hashes[3]}",), (f"lib{hashes[4]}",)]
 
 
+def test_events_without_a_key_stay(spark, tmp_path):
+    page = [{"id": "7", "type": "PushEvent"}, {"id": "7", "type": "PushEvent"}, {"type": "A"}, {"type": "A"}, {"id": "x", "type": "B"}]
+    import json
+
+    (tmp_path / "page.json").write_text(json.dumps(page))
+    read = sources.read_events(spark, str(tmp_path), multiLine="true")
+    assert bag(dedupe_pushes(read).fillna(0), "event_id", "type") == [(0, "A"), (0, "A"), (0, "B"), (7, "PushEvent")]
+
+
+def test_pushes_without_a_time_meet_the_stream_of_commits(spark, tmp_path):
+    arrived, inbox, out = tmp_path / "commits", tmp_path / "in", f"{tmp_path}/out"
+    fields = "repo_name string, sha string, files array<struct<filename: string, patch: string>>, committed_at timestamp"
+    now = datetime.now()
+    spark.createDataFrame([("a/b", "s1", [("src/x.py", SECRET)], now)], fields).write.parquet(str(arrived))
+    put(spark, inbox, [("a/b", "s1", None), ("a/b", "s1", now)])
+    finish(run_stream(stream(spark, inbox), stream(spark, arrived, fields), out, f"{tmp_path}/checkpoint"))
+    assert sources.leaks(spark, f"{out}/leaks").count() == 2
+
+
 def test_each_batch_sees_the_commits_of_its_time(spark, commits, tmp_path):
     inbox, out = tmp_path / "in", f"{tmp_path}/out"
     put(spark, inbox, [("a/b", "s1", T0)])

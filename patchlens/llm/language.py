@@ -206,17 +206,17 @@ def pooled(model: ByteGru, texts: list[bytes], most: int = 4096) -> np.ndarray:
     classes = len(model.weights["bias"])
     total = np.zeros((len(texts), classes))
     pieces = [(k, t[i : i + RUN]) for k, t in enumerate(texts) for i in range(0, len(t), RUN)]
-    # Runs of one length go together, and only the ends of texts are shorter than RUN.
-    full = [p for p in pieces if len(p[1]) == RUN]
-    ends = sorted((p for p in pieces if len(p[1]) < RUN), key=lambda p: len(p[1]))
-    for group in (full, ends):
+    # Runs go together by length, rounded up so that a run's padding depends on itself alone.
+    by_width: dict[int, list[tuple[int, bytes]]] = {}
+    for piece in pieces:
+        by_width.setdefault(-(-len(piece[1]) // 16) * 16, []).append(piece)
+    for width, group in sorted(by_width.items()):
         for at in range(0, len(group), most):
             part = group[at : at + most]
-            width = len(part[-1][1])
             padded = b"".join(p[1].ljust(width, b" ") for p in part)
             p = model.positions(np.ascontiguousarray(np.frombuffer(padded, np.uint8).reshape(len(part), width).T))
             size = np.array([len(x[1]) for x in part])
-            if size[0] < width:
+            if size.min() < width:
                 p *= (np.arange(width)[:, None] < size)[:, None, :]
             np.add.at(total, [x[0] for x in part], p.sum(axis=0).T)
     size = np.array([len(t) for t in texts])

@@ -151,7 +151,8 @@ class _Block:
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[_Block]:
     for batch in batches:
         for k in range(len(batch)):
-            yield _Block(*(batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in range(5)))
+            lists = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in range(1, 5))
+            yield _Block(batch.column(0)[k].as_py(), *lists)
 
 
 def _windows(items: list[tuple[int, bytes]], most: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -284,7 +285,7 @@ def near_hits(index: DataFrame, queries: DataFrame, window: int) -> DataFrame:
                     doc = block.document(start)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.array(block.doc_ids, np.int64)[doc]),
+                            pa.array([block.doc_ids[d] for d in doc], pa.int64()),
                             pa.array(item[phrase].astype(np.int64)),
                             pa.array(start - block.bounds[doc]),
                         ],

@@ -11,6 +11,7 @@ from patchlens.llm import (
     language,
     line_dedup,
     lsh_forest,
+    oracle,
     packing,
     positional_index,
     secret_scan,
@@ -20,7 +21,10 @@ from patchlens.llm import (
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_ngram_jaccard_join": oracle.JACCARD,
+    "op9_benchmark_decontamination": oracle.DECONTAMINATION,
+}
 
 
 def query(fn):

@@ -265,7 +265,7 @@ def segments_of(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _with_bytes(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """wanted (key, anchor, start, windows, single, ...) with the bytes of each segment."""
+    """wanted (key, anchor, start, windows, single, ...) with the bytes of each segment, once for all copies of a text."""
     listed = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "many", "start", "windows", "single")).alias("of"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +288,8 @@ def _with_bytes(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
          ("windows", pa.int32()), ("single", pa.bool_()), ("bytes", pa.binary())]
     )
     ddl = "key bigint, anchor bigint, many boolean, start bigint, windows int, single boolean, bytes binary"
-    return docs.join(listed, "key").select("key", "text", "of").mapInArrow(cut, ddl)
+    # Copies of a text are cut to one in each task before the shuffle, which also serves the join.
+    return docs.dropDuplicates(["key"]).join(listed, "key").select("key", "text", "of").mapInArrow(cut, ddl)
 
 
 RUNS = "key bigint, start bigint, windows int"
@@ -348,7 +349,10 @@ def _by_hash(parts: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(key, start, windows): runs of repeated windows in docs (key, text), a key for each distinct text."""
+    """(key, start, windows): runs of repeated windows in docs (key, text), a key for each distinct text.
+
+    Runs of a text that has copies may be missing or repeated: it is repeated as a whole.
+    """
     dealt = segments_of(docs, window).repartition("content")
     distinct = dealt.groupBy("content").agg(
         F.count("*").alias("n"), F.min(F.struct("anchor", "key", "start", "windows")).alias("of")
@@ -381,9 +385,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64("text").alias("key")
     )
     runs = repeated_runs(keyed.where(F.octet_length("text") >= window).select("key", "text"), window)
-    # Neighbouring segments of a task's text come one after the other; a text's list is bounded by its length.
-    listed = runs.groupBy("key").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
-    copies = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("copied"))
+    copies = saved(
+        keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("copied"))
+    )
+    # Texts with copies go whole and need no runs; the list of any other is bounded by its length.
+    own = runs.join(copies, "key", "left_anti")
+    listed = own.groupBy("key").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
     known = listed.join(copies, "key", "full")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -81,3 +81,22 @@ def test_edge_cases(spark):
     ]
     assert found(spark, rows) == expected(rows)
     assert found(spark, []) == []
+
+
+def test_copies_of_a_text_give_a_segment_once(spark):
+    docs = spark.createDataFrame([(k % 2, f"{k % 2}" + "abc" * 100) for k in range(80)], "key bigint, text string").repartition(3)
+    wanted = spark.createDataFrame(
+        [(0, 5, False, 3, 10, True), (1, 5, False, 3, 10, True), (1, 6, True, 20, 4, False)],
+        "key bigint, anchor bigint, many boolean, start bigint, windows int, single boolean",
+    )
+    got = suffix_dedup._with_bytes(docs, wanted, 200).collect()
+    assert sorted((r.key, r.anchor, r.start, len(r.bytes)) for r in got) == [(0, 5, 3, 209), (1, 5, 3, 209), (1, 6, 20, 203)]
+
+
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_many_copies_and_near_copies(spark, tasks):
+    base = texts(4, 1)[0] + "".join(map(str, range(300)))
+    rows = [(k, base) for k in range(60)] + [(100, base[:400] + "#" + base[400:]), (101, base + "end")] + list(enumerate(texts(5, 10), 200))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(tasks)
+    kept = suffix_dedup.remove_repeats(df).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in kept), key=repr) == expected(rows)

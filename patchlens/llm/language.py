@@ -82,8 +82,13 @@ class ByteGru:
         p /= p.sum(axis=1, keepdims=True)
         return p
 
-    def gradients(self, data: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross entropy over all positions and its gradient, back through time in both directions."""
+    def gradients(
+        self, data: np.ndarray, label: np.ndarray, size: np.ndarray | None = None
+    ) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean cross entropy over all positions and its gradient, back through time in both directions.
+
+        With size, run k has that many bytes and padding behind them, whose positions do not count.
+        """
         h, w = self.hidden, self.weights
         grads = {k: np.zeros_like(v) for k, v in w.items()}
         runs = {d: self.states(data, d, keep=True) for d in "fb"}
@@ -92,9 +97,12 @@ class ByteGru:
         p = np.exp(logits)
         p /= p.sum(axis=1, keepdims=True)
         rows = np.arange(len(label))
-        loss = -np.log(p[:, label, rows] + 1e-9).mean()
+        counts = np.ones((len(data), len(label)), bool) if size is None else np.arange(len(data))[:, None] < size
+        n = max(1, int(counts.sum()))
+        loss = -(np.log(p[:, label, rows] + 1e-9) * counts).sum() / n
         p[:, label, rows] -= 1
-        p /= p.shape[0] * p.shape[2]
+        p *= counts[:, None, :]
+        p /= n
         grads["bias"] = p.sum(axis=(0, 2))
         for d in "fb":
             states, tape = runs[d]
@@ -119,7 +127,15 @@ class ByteGru:
                 grads[f"in{d}"][:, k] = np.bincount(seen, weights=flat[k], minlength=256)
         return float(loss), grads
 
-    def fit(self, data: np.ndarray, label: np.ndarray, epochs: int = 8, batch: int = 256, rate: float = 0.02) -> None:
+    def fit(
+        self,
+        data: np.ndarray,
+        label: np.ndarray,
+        size: np.ndarray | None = None,
+        epochs: int = 8,
+        batch: int = 256,
+        rate: float = 0.02,
+    ) -> None:
         """Adam over shuffled batches; the order is fixed by a seed, so equal samples give equal weights."""
         rng = np.random.default_rng(2)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
@@ -129,7 +145,9 @@ class ByteGru:
             order = rng.permutation(len(data))
             for at in range(0, len(order), batch):
                 rows = order[at : at + batch]
-                _, grads = self.gradients(np.ascontiguousarray(data[rows].T), label[rows])
+                _, grads = self.gradients(
+                    np.ascontiguousarray(data[rows].T), label[rows], None if size is None else size[rows]
+                )
                 step += 1
                 pace = rate * (1 - step / (steps + 1))
                 norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
@@ -180,6 +198,7 @@ def train(
 ) -> tuple[list[str], ByteGru | None]:
     """Languages and network fitted on at most ``per_language`` rows a language, ``runs_each`` runs of ``length`` bytes each.
 
+    A text below ``length`` bytes is one run, padded as in scoring, so every sampled row teaches.
     Rows without lang, doc_id or a letter teach nothing; no labelled row gives no network. More
     than ``most_languages`` languages are refused, as the sample would have no bound.
     """
@@ -188,16 +207,15 @@ def train(
     )
     if len(languages) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
-    runs = [x for x in _sample(docs, per_language, runs_each, length) if len(x[1]) == length] if languages else []
-    short = [] if runs or not languages else _sample(docs, per_language, runs_each, 1)
-    runs = runs or short
+    runs = _sample(docs, per_language, runs_each, length) if languages else []
     if not runs:
         return [], None
     languages = sorted({x[0] for x in runs})
-    data = np.frombuffer(b"".join(x[1] for x in runs), np.uint8).reshape(len(runs), -1)
+    size = np.array([len(x[1]) for x in runs])
+    data = np.frombuffer(b"".join(x[1].ljust(length, b" ") for x in runs), np.uint8).reshape(len(runs), length)
     label = np.searchsorted(np.array(languages), np.array([x[0] for x in runs]))
     model = ByteGru(len(languages))
-    model.fit(data, label)
+    model.fit(data, label, size)
     return languages, model
 
 

@@ -52,3 +52,30 @@ def test_edge_cases(spark):
     assert language.identify(df.limit(0)).count() == 0
     bare = language.identify(df.withColumn("lang", df.lang.substr(1, 0)).where("false or doc_id = 0").drop("lang").selectExpr("*", "cast(null as string) lang"))
     assert [(r.lang_pred, r.score) for r in bare.collect()] == [("und", 0.0)]
+
+
+def test_padding_does_not_enter_the_gradient():
+    rng = np.random.default_rng(4)
+    model = language.ByteGru(3, hidden=3)
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    data, label, size = rng.integers(60, 70, (7, 5)).astype(np.uint8), rng.integers(0, 3, 5), np.array([1, 7, 3, 5, 2])
+    loss, grads = model.gradients(data, label, size)
+    for name in ("inf", "ref", "outb", "bias"):
+        at = (int(data[0, 0]),) + (1,) * (model.weights[name].ndim - 1) if name == "inf" else (0,) * model.weights[name].ndim
+        weight = model.weights[name]
+        weight[at] += 1e-3
+        higher, _ = model.gradients(data, label, size)
+        weight[at] -= 2e-3
+        lower, _ = model.gradients(data, label, size)
+        weight[at] += 1e-3
+        assert abs((higher - lower) / 2e-3 - grads[name][at]) < 2e-3, name
+
+
+def test_a_language_of_short_texts_is_learned(spark):
+    rows = [(k, "the cat and the dog went over there " * 5, "en") for k in range(60)]
+    rows += [(100 + k, f"żółć gęś {'ąę'[k % 2]}", "pl") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    languages, model = language.train(df)
+    assert languages == ["en", "pl"]
+    got = {r.doc_id: r.lang_pred for r in language.predict(df, languages, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)

@@ -18,6 +18,7 @@ from patchlens.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    vantage_trees,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +104,8 @@ def op2_secret_scan(spark, sf_dir):
         F.sha2(secret_scan.as_text(base), 256).alias("base_sha256"),
         secret_scan.as_text(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op11_simhash_near_dedup(spark, sf_dir):
+    return vantage_trees.near_duplicates(table(spark, sf_dir, "documents"))

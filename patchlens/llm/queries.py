@@ -19,6 +19,7 @@ from patchlens.llm import (
     token_counts,
     toxicity,
     vantage_trees,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +110,8 @@ def op2_secret_scan(spark, sf_dir):
 @query
 def op11_simhash_near_dedup(spark, sf_dir):
     return vantage_trees.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

@@ -14,6 +14,7 @@ from patchlens.llm import (
     oracle,
     packing,
     positional_index,
+    rtree,
     secret_scan,
     suffix_dedup,
     token_counts,
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {
     "op5_ngram_jaccard_join": oracle.JACCARD,
     "op9_benchmark_decontamination": oracle.DECONTAMINATION,
+    "op12_hard_negatives": oracle.HARD_NEGATIVES,
 }
 
 
@@ -115,3 +117,11 @@ def op11_simhash_near_dedup(spark, sf_dir):
 @query
 def op13_embedding_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    found = rtree.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

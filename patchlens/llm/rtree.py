@@ -27,15 +27,16 @@ from patchlens.llm.whitening import vector_key, whole_numbers
 
 SCALE = 256
 #: Rows that place the tiles, about, at most.
-SAMPLE = 65_536
+SAMPLE = 16_384
 #: Rows of a part of a tile, about. Parts are what a task holds at once.
 TILE_ROWS = 8192
 #: Tiles at most; beyond, a tile is cut in several parts. Every task that routes anchors holds their boxes.
 MAX_TILES = 2048
-LEAF = 32
+LEAF = 128
 FANOUT = 16
-#: Vectors longer than this when scaled take no part: bounds of their scores could leave 64 bits.
-LONGEST = 2.0**27
+#: Vectors longer than this when scaled take no part: their scores, and in up to 2^14 dimensions the
+#: bounds of these, are whole numbers that double precision adds up exactly.
+LONGEST = 2.0**23
 
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
@@ -66,8 +67,9 @@ def str_order(points: np.ndarray, leaf: int = LEAF) -> np.ndarray:
 
 def bounds(asked: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """[asked, box] least and greatest inner product with anything in the boxes."""
-    up, down = np.maximum(asked, 0), np.minimum(asked, 0)
-    return up @ low.T + down @ high.T, up @ high.T + down @ low.T
+    up, down = np.maximum(asked, 0).astype(np.float64), np.minimum(asked, 0).astype(np.float64)
+    low, high = low.T.astype(np.float64), high.T.astype(np.float64)
+    return up @ low + down @ high, up @ high + down @ low
 
 
 @dataclass
@@ -89,6 +91,7 @@ class RTree:
             order = str_order(vectors)
             ids, labels, vectors = ids[order], labels[order], vectors[order]
         self.ids, self.labels, self.vectors = ids, labels, vectors
+        self.exact = vectors.astype(np.float64)  # products of vectors within LONGEST are exact in it
         # Level by level, leaves first: boxes, least and greatest label, and the span of children.
         lows, highs, least, greatest, spans = [], [], [], [], []
         edges = np.append(np.arange(0, len(ids), LEAF), len(ids))
@@ -126,9 +129,49 @@ class RTree:
         """
         found: list[list[tuple[int, int, int]]] = [[] for _ in wanted.low]
         floor = np.maximum(wanted.low, wanted.floor)
-        open_windows = floor <= wanted.high
-        if not open_windows.any():
+        asked = np.flatnonzero(floor <= wanted.high)
+        if not len(asked):
             return found
+        if wanted.same:
+            fits = (self.least <= wanted.label) & (wanted.label <= self.greatest)
+        else:
+            fits = (self.least != wanted.label) | (self.greatest != wanted.label)
+        # Boxes outside all windows are out from the start; the kth scores rise as leaves are read.
+        fits &= ((highs[:, None] >= floor[asked]) & (lows[:, None] <= wanted.high[asked])).any(axis=1)
+        alive, most = fits.tolist(), int(wanted.high.max())
+        mine, vector = (self.labels == wanted.label) == wanted.same, vector.astype(np.float64)
+        upper, span = np.minimum(highs, most).tolist(), self.span.tolist()
+        window, reach = wanted.high.tolist(), floor.tolist()
+        least = min(reach[w] for w in asked)
+
+        root = len(span) - 1
+        queue = [(-upper[root], root)] if alive[root] else []
+        while queue:
+            bound, node = heapq.heappop(queue)
+            if -bound < least:
+                break  # no box left reaches any window's kth score
+            a, b = span[node]
+            if node >= self.leaves:
+                for child in range(a, b):
+                    if alive[child] and upper[child] >= least:
+                        heapq.heappush(queue, (-upper[child], child))
+                continue
+            scores = self.exact[a:b] @ vector
+            for at in ((scores >= least) & (scores <= most) & mine[a:b]).nonzero()[0].tolist():
+                score = int(scores[at])
+                entry = (score, -int(self.ids[a + at]), a + at)
+                for w in asked:
+                    if not reach[w] <= score <= window[w]:
+                        continue
+                    heap = found[w]
+                    if len(heap) < k:
+                        heapq.heappush(heap, entry)
+                    elif entry > heap[0]:
+                        heapq.heapreplace(heap, entry)
+                    if len(heap) == k and heap[0][0] > reach[w]:
+                        reach[w] = heap[0][0]
+                        least = min(reach[v] for v in asked)
+        return found
         if wanted.same:
             fits = (self.least <= wanted.label) & (wanted.label <= self.greatest)
         else:
@@ -461,7 +504,7 @@ def hard_negatives(
     rank, negative_id, positive_score, negative_score, positive_rank); a positive without negatives gives no row.
 
     Rows without a vec_id or label, with a null vector, a null or non-finite component, or a vector longer than
-    2^27 when scaled take no part. Vectors of another length are not compared. Rows equal in vec_id, label
+    2^23 when scaled take no part. Vectors of another length are not compared. Rows equal in vec_id, label
     and vector count once; rows that share only the vec_id are different rows. Other columns are
     ignored; an empty table gives no rows.
     """

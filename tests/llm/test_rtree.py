@@ -78,13 +78,15 @@ def test_packing_and_bounds():
     for node in range(tree.leaves):
         a, b = tree.span[node]
         assert (low[:, node] <= scores[:, a:b].min(axis=1)).all() and (high[:, node] >= scores[:, a:b].max(axis=1)).all()
-    assert (high[:, -1] >= scores.max(axis=1)).all() and len(tree.span) == 32 + 2 + 1
+    assert (high[:, -1] >= scores.max(axis=1)).all() and tree.leaves == 8 and len(tree.span) == 9
 
 
 def test_search_prunes_boxes(monkeypatch):
     rng = np.random.default_rng(4)
     points = rng.integers(-500, 500, (4000, 2))
-    tree = rtree.RTree(np.arange(4000), np.zeros(4000, int), points)
+    monkeypatch.setattr(rtree, "LEAF", 32)
+    tree = rtree.RTree(np.arange(4000), np.zeros(4000, int), points[(order := rtree.str_order(points, 32))], packed=True)
+    assert sorted(order.tolist()) == list(range(4000)) and len(tree.span) == 125 + 8 + 1
     taken = []
     real = rtree.heapq.heappop
     monkeypatch.setattr(rtree.heapq, "heappop", lambda q: taken.append(1) or real(q))

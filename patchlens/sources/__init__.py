@@ -14,6 +14,8 @@ from patchlens.sources.tables import (
     read_events,
     read_findings,
     register_views,
+    reject_counts,
+    rejects,
     trends,
     vibes,
 )
@@ -27,6 +29,8 @@ __all__ = [
     "read_push_stream",
     "recluster",
     "register_views",
+    "reject_counts",
+    "rejects",
     "trends",
     "vibes",
     "write_commits",

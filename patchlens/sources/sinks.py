@@ -1,9 +1,13 @@
 """Table sinks: day partitions, clustered files, replay-safe batches.
 
-A stream's batch goes to ``<path>/stream_id=<query>/batch_id=<n>`` and replaces
-what an earlier attempt at the same batch left there. A batch that is retried
-therefore leaves its rows once. A query started afresh has another id and never
-overwrites the batches of the one before.
+A stream's batch goes to ``stream_id=<query>/batch_id=<n>`` below each of its days
+(or hash prefixes) and replaces what an earlier attempt at the same batch left there.
+A batch that is retried therefore leaves its rows once, and a read of one day lists that
+day's folders only. A query started afresh has another id and never overwrites the
+batches of the one before. A table is written by batches or without, not both.
+
+Rows that break a required column stop a write, or go to a folder of ``rejects``
+with the names of the columns they break, so that the others are stored.
 """
 
 from collections.abc import Callable
@@ -11,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchlens.operators.constraints import require_not_null
+from patchlens.operators.constraints import require_not_null, tag_not_null
 from patchlens.operators.dependencies import trend_rows
 from patchlens.schemas import SHA_PREFIX, SHA_PREFIX_LENGTH
 
@@ -60,12 +64,32 @@ def _write_facts(
         rows = expand(rows)
     if clustered:
         rows = rows.sortWithinPartitions("detected_date", *cluster)
+    _put(rows, path, ["detected_date"], batch_id, stream_id)
+
+
+def _put(rows: DataFrame, path: str, levels: list[str], batch_id: int | None, stream_id: str | None) -> None:
+    """Append, or put the rows in the place of the batch's own below each folder of ``levels``."""
     if batch_id is None:
-        target, mode = path, "append"
-    else:
-        target, mode = f"{path}/stream_id={stream_id or 'batch'}/batch_id={batch_id}", "overwrite"
-    writer = rows.write.mode(mode).partitionBy("detected_date")
-    writer.option("partitionOverwriteMode", "static").parquet(target)
+        rows.write.mode("append").partitionBy(*levels).parquet(path)
+        return
+    named = rows.withColumns(
+        {"stream_id": F.lit(stream_id or "batch"), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
+    writer = named.write.mode("overwrite").partitionBy(*levels, "stream_id", "batch_id")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _checked(
+    rows: DataFrame, required: list[str], rejects: str | None, batch_id: int | None, stream_id: str | None
+) -> DataFrame:
+    """The rows that have all required columns; the others stop the write, or go to ``rejects``."""
+    if rejects is None:
+        return require_not_null(rows, required)
+    tagged = tag_not_null(rows, required)
+    wrong = tagged.filter(F.size("violations") > 0)
+    kept = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    _put(wrong.select(kept.alias("row"), "violations"), rejects, [], batch_id, stream_id)
+    return tagged.filter(F.size("violations") == 0).drop("violations")
 
 
 def write_trends(
@@ -74,10 +98,12 @@ def write_trends(
     batch_id: int | None = None,
     stream_id: str | None = None,
     clustered: bool = True,
+    rejects: str | None = None,
 ) -> None:
     """Append trends, or put them in the place of batch ``batch_id``.
 
     ``df`` has a row for each name, or manifests with their ``libraries`` still unexploded.
+    Rows without a name go to the folder ``rejects``; without one they stop the write.
     ``clustered`` sorts each file by library and language, for its statistics to
     prune by. A micro-batch may leave that to ``recluster``.
     """
@@ -85,7 +111,8 @@ def write_trends(
         rows = _stamped(df, ("libraries", *TREND_COLUMNS[1:]))
         expand = lambda held: trend_rows(held, "detected_at", "detected_date")
     else:
-        rows, expand = require_not_null(_stamped(df, TREND_COLUMNS), ["library_name"]), None
+        named = _stamped(df, TREND_COLUMNS)
+        rows, expand = _checked(named, ["library_name"], rejects, batch_id, stream_id), None
     _write_facts(rows, path, TREND_CLUSTER, batch_id, stream_id, clustered, expand)
 
 
@@ -95,9 +122,10 @@ def write_leaks(
     batch_id: int | None = None,
     stream_id: str | None = None,
     clustered: bool = True,
+    rejects: str | None = None,
 ) -> None:
-    """As ``write_trends`` for leaks, clustered by score."""
-    rows = require_not_null(_stamped(df, LEAK_COLUMNS), ["commit_sha"])
+    """As ``write_trends`` for leaks, clustered by score; the required column is the commit."""
+    rows = _checked(_stamped(df, LEAK_COLUMNS), ["commit_sha"], rejects, batch_id, stream_id)
     _write_facts(rows, path, LEAK_CLUSTER, batch_id, stream_id, clustered)
 
 
@@ -127,32 +155,51 @@ def recluster(
     )
 
 
-def write_commits(commits: DataFrame, path: str) -> None:
-    """Append commits to a table laid out for lookups by hash.
+def write_commits(commits: DataFrame, path: str, batch_id: int | None = None, stream_id: str | None = None) -> None:
+    """Append commits to a table laid out for lookups by hash, or put them in the place of a batch.
 
     One folder per hash prefix: a micro-batch of few pushes then reads few of
     the 4,096 folders instead of every patch. Made for large, infrequent appends.
     """
     prefix = F.substring("sha", 1, SHA_PREFIX_LENGTH)
     rows = commits.select("repo_name", "sha", "files").withColumn(SHA_PREFIX.name, prefix)
-    rows = rows.hint("rebalance", SHA_PREFIX.name)
-    rows.write.mode("append").partitionBy(SHA_PREFIX.name).parquet(path)
+    _put(rows.hint("rebalance", SHA_PREFIX.name), path, [SHA_PREFIX.name], batch_id, stream_id)
+
 
+def write_findings(findings: DataFrame, path: str, batch_id: int | None = None, stream_id: str | None = None) -> None:
+    """Append the findings of new commits, one folder per hash prefix, or put them in the place of a batch.
 
-def write_findings(findings: DataFrame, path: str) -> None:
-    """Append the findings of new commits, one folder per hash prefix."""
+    A batch is small: it has one folder, and its files are sorted by prefix for their
+    statistics to prune by. Written without a batch twice, a finding gives every
+    later push of its commit twice.
+    """
     prefix = F.substring("commit_sha", 1, SHA_PREFIX_LENGTH)
     rows = findings.select("repo_name", "commit_sha", "entropy_score", "language", "libraries")
-    rows = rows.withColumn(SHA_PREFIX.name, prefix).hint("rebalance", SHA_PREFIX.name)
-    rows.write.mode("append").partitionBy(SHA_PREFIX.name).parquet(path)
+    rows = rows.withColumn(SHA_PREFIX.name, prefix)
+    if batch_id is None:
+        _put(rows.hint("rebalance", SHA_PREFIX.name), path, [SHA_PREFIX.name], None, None)
+    else:
+        _put(rows.sortWithinPartitions(SHA_PREFIX.name, "commit_sha"), path, [], batch_id, stream_id)
+
 
+def write_vibes(
+    df: DataFrame,
+    path: str,
+    batch_id: int | None = None,
+    stream_id: str | None = None,
+    required: tuple[str, ...] = (),
+    rejects: str | None = None,
+) -> None:
+    """Append report rows, or put them in the place of a batch; ``vibe_date`` defaults to today.
 
-def write_vibes(df: DataFrame, path: str) -> None:
-    """Append report rows, ``vibe_date`` defaulting to today."""
+    No column is required, unless named; ``rejects`` as in ``write_trends``.
+    """
     known = F.col("vibe_date") if "vibe_date" in df.columns else F.lit(None)
     dated = df.withColumn("vibe_date", F.coalesce(known.cast("date"), F.current_date()))
     rows = dated.select("vibe_date", "theme_name", "summary", "top_libraries")
-    rows.hint("rebalance", "vibe_date").write.mode("append").partitionBy("vibe_date").parquet(path)
+    if required:
+        rows = _checked(rows, list(required), rejects, batch_id, stream_id)
+    _put(rows.hint("rebalance", "vibe_date"), path, ["vibe_date"], batch_id, stream_id)
 
 
 def write_messages(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:

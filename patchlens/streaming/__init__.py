@@ -7,13 +7,25 @@ from patchlens.streaming.jobs import (
     run_stream,
     stream_entropy_hourly,
 )
+from patchlens.streaming.lookup import (
+    commit_outcomes,
+    dropped_rows,
+    run_findings,
+    settle,
+    still_waiting,
+)
 
 __all__ = [
     "commit_findings",
+    "commit_outcomes",
     "dedupe_stream",
+    "dropped_rows",
     "hourly_snapshot",
     "run_append",
+    "run_findings",
     "run_hourly",
     "run_stream",
+    "settle",
+    "still_waiting",
     "stream_entropy_hourly",
 ]

@@ -13,6 +13,7 @@ from patchlens.operators.dependencies import with_libraries
 from patchlens.operators.scoring import with_entropy
 from patchlens.schemas import SHA_PREFIX, SHA_PREFIX_LENGTH
 from patchlens.sources.sinks import write_leaks, write_trends
+from patchlens.streaming import lookup
 
 KEEP = StorageLevel.MEMORY_AND_DISK
 
@@ -93,6 +94,7 @@ def run_stream(
     delay: str = "1 hour",
     clustered: bool = False,
     salts: int = 8,
+    arrival: tuple[str, str] = ("pushed_at", "committed_at"),
 ) -> StreamingQuery:
     """Start the job: pushes (name, head, pushed_at) -> ``out/leaks`` and ``out/trends``.
 
@@ -107,16 +109,16 @@ def run_stream(
     as ``lambda: read_findings(spark, path)``, for each micro-batch to see new files.
 
     The stream is the form for large volumes: files are analysed as they arrive,
-    only the findings are kept in state, and a push meets commits up to ``delay``
-    older or younger than it.
-    A push without a time has its batch's. A stream join has no adaptive splitting,
-    so the pushes of one commit are cut into ``salts`` parts by all their columns
-    (pass the event's id along) and each finding is held once per part.
+    only the findings are kept in state, and a push meets commits that arrive up to
+    ``delay`` before or after it. Name the columns of arrival times by ``arrival`` (of pushes, of
+    commits); they default to the push time and ``committed_at``, and a push without
+    one has its batch's. Pushes that meet none are stored in ``out/waiting``, and
+    ``settle`` looks them up among the outcomes that ``run_findings`` stores.
     """
 
     def split(joined: DataFrame, batch_id: int) -> None:
         stream_id = _query_id(joined.sparkSession)
-        joined.persist(KEEP)
+        joined = joined.persist(KEEP)
         try:
             manifests = manifests_in(joined, "detected_at")
             write_trends(manifests, f"{out}/trends", batch_id, stream_id, clustered)
@@ -132,30 +134,27 @@ def run_stream(
         split(_pushed_findings(known.withColumnRenamed("pushed_at", "detected_at"), findings), batch_id)
 
     if callable(commits) or not commits.isStreaming:
-        return _start(push, look_up, checkpoint, trigger)
+        # The batch's time is kept with its offsets, so a retry gives the same one.
+        timed = push.withColumn("pushed_at", F.coalesce("pushed_at", F.current_timestamp()))
+        return _start(timed, look_up, checkpoint, trigger)
+
+    pushed, arrived = arrival
+    named = push.filter(F.col("name").isNotNull() & F.col("head").isNotNull())
+    timed = named.withColumn("detected_at", F.coalesce("pushed_at", F.current_timestamp()))
+    if pushed == "pushed_at":
+        timed = timed.withColumn("pushed_at", F.col("detected_at"))
+    outcomes = lookup.commit_outcomes(commits, threshold, arrived)
+    joined = lookup.near_in_time(timed, outcomes, pushed, arrived, delay, salts)
+
+    def split_or_wait(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(KEEP)
+        try:
+            lookup.write_waiting(batch, out, batch_id, _query_id(batch.sparkSession))
+            split(batch, batch_id)
+        finally:
+            batch.unpersist()
 
-    salt = F.pmod(F.xxhash64(*push.columns), F.lit(salts)).cast("int")
-    timed = push.withColumn("salt", salt).withColumn(
-        "pushed_at", F.coalesce("pushed_at", F.current_timestamp())
-    )
-    pushed = timed.withWatermark("pushed_at", delay)
-    files = explode_files(commits, "committed_at").withWatermark("committed_at", delay)
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    findings = file_findings(files, threshold, "committed_at").withColumn("part", every_salt)
-    near = F.expr(f"INTERVAL {delay}")
-    joined = pushed.join(
-        findings,
-        (pushed["name"] == findings["repo_name"])
-        & (pushed["head"] == findings["commit_sha"])
-        & (pushed["salt"] == findings["part"])
-        & (findings["committed_at"] >= pushed["pushed_at"] - near)
-        & (findings["committed_at"] <= pushed["pushed_at"] + near),
-        "inner",
-    )
-    joined = joined.withColumnRenamed("pushed_at", "detected_at")
-    return _start(
-        joined.drop("name", "head", "committed_at", "salt", "part"), split, checkpoint, trigger
-    )
+    return _start(joined, split_or_wait, checkpoint, trigger)
 
 
 def run_append(rows: DataFrame, out: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:

@@ -137,6 +137,26 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arriving_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commits with ``arrived_at``: ten minutes before their first push, or for every tenth two hours after it."""
+    first = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"))
+    when = first.withColumn(
+        "arrived_at",
+        F.when(F.col("doc_id") % 10 == 3, F.col("ts") + F.expr("INTERVAL 2 HOURS")).otherwise(
+            F.col("ts") - F.expr("INTERVAL 10 MINUTES")
+        ),
+    )
+    return commits(spark, sf_dir).join(when.select(_sha(F.col("doc_id")).alias("sha"), "arrived_at"), "sha")
+
+
+def slices(df: DataFrame, time: str, n: int) -> list[DataFrame]:
+    """df cut in n slices by time, for a stream to read one after the other."""
+    low, high = df.agg(F.unix_timestamp(F.min(time)), F.unix_timestamp(F.max(time))).first()
+    step = max(1, (high - low) // n + 1)
+    number = F.floor((F.unix_timestamp(time) - F.lit(low)) / F.lit(step))
+    return [df.filter(number == k) for k in range(n)]
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_files(commits(spark, sf_dir))
 

@@ -389,6 +389,7 @@ BODIES = {
 
 BODIES |= {
     "stream_findings_sink": BODIES["stream_leaks_sink"],
+    "stream_commits_sink": BODIES["stream_leaks_sink"],
     "feed_dedupe": BODIES["push_dedupe"],
     "commit_table_lookup": BODIES["leak_detect"],
     "vibe_table_roundtrip": BODIES["vibe_rows"],

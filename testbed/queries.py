@@ -14,7 +14,7 @@ from patchlens.plans import leaks as leak_plans
 from patchlens.plans import reports, trends as trend_plans
 from patchlens.session import configure, scratch_path
 from patchlens.sources import sinks, streams, tables
-from patchlens.streaming import jobs
+from patchlens.streaming import jobs, lookup
 from testbed import binding
 from testbed.binding import NOISE, SEEDS, THRESHOLD, TOKEN_THRESHOLD
 
@@ -442,6 +442,55 @@ def masked_view_sql(spark, sf):
     return _plain(spark.sql("SELECT * FROM v_public_security_stream"))
 
 
+FILES = 4  # of a slice, and of a micro-batch
+
+
+def _add(slice_: DataFrame, folder: str) -> None:
+    slice_.repartition(FILES).write.mode("append").parquet(folder)
+
+
+def _arriving(spark: SparkSession, like: DataFrame, folder: str) -> DataFrame:
+    return streams.read_push_stream(spark, "parquet", like.schema, folder, maxFilesPerTrigger=str(FILES))
+
+
+@query
+def stream_commits_sink(spark, sf):
+    """Leaks of pushes that meet a stream of commits, in several micro-batches and over a restart.
+
+    Every tenth commit arrives two hours after its push and some never do. What did not meet in time is
+    settled from the stored outcomes, half way and at the end.
+    """
+    out = scratch_path(configure(spark), "meeting")
+    pushes = events.flatten_push(binding.raw_events(spark, sf)).withColumn("arrived_at", F.col("pushed_at"))
+    commits = binding.arriving_commits(spark, sf)
+    last = pushes.agg(F.max("arrived_at")).first()[0]
+    # The queue's next rows, a day on: they let the watermark pass the last pushes.
+    later = spark.range(1).select(
+        F.lit("next/day").alias("name"), F.lit("later").alias("head"), F.lit(last).alias("pushed_at"),
+        (F.lit(last) + F.expr("INTERVAL 1 DAY")).alias("arrived_at"),
+    )
+    commit_later = later.select(F.lit("other").alias("sha"), F.col("name").alias("repo_name"), F.array().cast(commits.schema["files"].dataType).alias("files"), "arrived_at")
+    for half in (0, 1):
+        for k in (0, 1):
+            _add(binding.slices(pushes, "arrived_at", 4)[2 * half + k], f"{out}/pushes")
+            _add(binding.slices(commits, "arrived_at", 4)[2 * half + k].select(*commit_later.columns), f"{out}/commits")
+        if half:
+            later.write.mode("append").parquet(f"{out}/pushes")
+            commit_later.write.mode("append").parquet(f"{out}/commits")
+        arriving = _arriving(spark, commit_later, f"{out}/commits")
+        _finish(lookup.run_findings(arriving, f"{out}/findings", f"{out}/checkpoints/findings", THRESHOLD))
+        meeting = jobs.run_stream(
+            _arriving(spark, later, f"{out}/pushes"), arriving, f"{out}/facts", f"{out}/checkpoints/meeting",
+            threshold=THRESHOLD, arrival=("arrived_at", "arrived_at"),
+        )
+        _finish(meeting)
+        if lookup.dropped_rows(meeting):
+            raise RuntimeError("rows came out of order")
+        lookup.settle(spark, f"{out}/facts", tables.read_findings(spark, f"{out}/findings", batched=True), THRESHOLD)
+    leaks = tables.leaks(spark, f"{out}/facts/leaks")
+    return _plain(leaks.select("repo_name", "commit_sha", "entropy_score", "detected_at"))
+
+
 @query
 def stream_trends_sink(spark, sf):
     trends = tables.trends(spark, f"{_run_both_sinks(spark, sf)}/trends")

@@ -1,3 +1,4 @@
+from patchlens.sources.pages import feed_events, read_feed_pages
 from patchlens.sources.sinks import (
     recluster,
     write_commits,
@@ -15,21 +16,25 @@ from patchlens.sources.tables import (
     read_findings,
     register_views,
     reject_counts,
+    rejected_rows,
     rejects,
     trends,
     vibes,
 )
 
 __all__ = [
+    "feed_events",
     "kafka_options",
     "leaks",
     "read_commits",
     "read_events",
+    "read_feed_pages",
     "read_findings",
     "read_push_stream",
     "recluster",
     "register_views",
     "reject_counts",
+    "rejected_rows",
     "rejects",
     "trends",
     "vibes",

@@ -24,6 +24,9 @@ TREND_CLUSTER = ("library_name", "language")
 LEAK_COLUMNS = ("repo_name", "commit_sha", "entropy_score", "detected_at")
 LEAK_CLUSTER = ("entropy_score",)
 
+# Times of rejected rows, to the microsecond.
+REJECT_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 # Tasks at least that may share one day's rows of a write.
 DAY_PARTS = 16
 
@@ -87,7 +90,7 @@ def _checked(
         return require_not_null(rows, required)
     tagged = tag_not_null(rows, required)
     wrong = tagged.filter(F.size("violations") > 0)
-    kept = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    kept = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false", **REJECT_TIME})
     _put(wrong.select(kept.alias("row"), "violations"), rejects, [], batch_id, stream_id)
     return tagged.filter(F.size("violations") == 0).drop("violations")
 

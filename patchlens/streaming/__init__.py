@@ -3,10 +3,12 @@ from patchlens.streaming.jobs import (
     dedupe_stream,
     hourly_snapshot,
     run_append,
+    run_facts,
     run_hourly,
     run_stream,
     stream_entropy_hourly,
 )
+from patchlens.streaming.latest import latest_snapshot, run_latest, stream_latest
 from patchlens.streaming.lookup import (
     commit_outcomes,
     dropped_rows,
@@ -21,11 +23,15 @@ __all__ = [
     "dedupe_stream",
     "dropped_rows",
     "hourly_snapshot",
+    "latest_snapshot",
     "run_append",
+    "run_facts",
     "run_findings",
     "run_hourly",
+    "run_latest",
     "run_stream",
     "settle",
     "still_waiting",
     "stream_entropy_hourly",
+    "stream_latest",
 ]

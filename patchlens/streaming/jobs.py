@@ -157,6 +157,27 @@ def run_stream(
     return _start(joined, split_or_wait, checkpoint, trigger)
 
 
+def run_facts(
+    rows: DataFrame, kind: str, out: str, checkpoint: str, trigger: str | None = None
+) -> StreamingQuery:
+    """Store a stream of fact rows as ``out/<kind>``, ``leaks`` or ``trends``; the stream outlives bad rows.
+
+    Rows that break a required column go to ``out/rejects/<kind>`` with what they break.
+    """
+    write = {"leaks": write_leaks, "trends": write_trends}[kind]
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        stream_id = _query_id(batch.sparkSession)
+        held = batch.persist(KEEP)  # read twice: for the table and for what is set aside
+        try:
+            write(held, f"{out}/{kind}", batch_id, stream_id, False, rejects=f"{out}/rejects/{kind}")
+        finally:
+            held.unpersist()
+
+    timed = rows.withColumn("detected_at", F.coalesce("detected_at", F.current_timestamp()))
+    return _start(timed, store, checkpoint, trigger)
+
+
 def run_append(rows: DataFrame, out: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Store a stream's rows as they are, one folder per micro-batch."""
 

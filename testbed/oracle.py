@@ -384,12 +384,18 @@ BODIES = {
       FULL JOIN (SELECT detected_at::DATE AS detected_date, count(*) AS leaks FROM leak GROUP BY 1)
         USING (detected_date)""",
     "stream_dedupe": _UNIQUE,
+    "stream_quarantine": """
+      SELECT name AS repo_name, head AS commit_sha, round(value, 6) AS entropy_score, created_at AS detected_at,
+             CASE WHEN head IS NULL THEN 'commit_sha' ELSE '' END AS violations
+      FROM raw JOIN events USING (event_id) WHERE type = 'PushEvent'""",
     "stream_entropy_hourly": _HOURLY,
 }
 
 BODIES |= {
     "stream_findings_sink": BODIES["stream_leaks_sink"],
     "stream_commits_sink": BODIES["stream_leaks_sink"],
+    "stream_feed_pages": BODIES["push_dedupe"],
+    "stream_live_latest": BODIES["live_latest_per_repo"],
     "feed_dedupe": BODIES["push_dedupe"],
     "commit_table_lookup": BODIES["leak_detect"],
     "vibe_table_roundtrip": BODIES["vibe_rows"],

@@ -13,8 +13,8 @@ from patchlens.operators import constraints, dependencies, events, filters, scor
 from patchlens.plans import leaks as leak_plans
 from patchlens.plans import reports, trends as trend_plans
 from patchlens.session import configure, scratch_path
-from patchlens.sources import sinks, streams, tables
-from patchlens.streaming import jobs, lookup
+from patchlens.sources import pages, sinks, streams, tables
+from patchlens.streaming import jobs, latest, lookup
 from testbed import binding
 from testbed.binding import NOISE, SEEDS, THRESHOLD, TOKEN_THRESHOLD
 
@@ -491,6 +491,61 @@ def stream_commits_sink(spark, sf):
     return _plain(leaks.select("repo_name", "commit_sha", "entropy_score", "detected_at"))
 
 
+@query
+def stream_quarantine(spark, sf):
+    """Fact rows of which some lack their commit: stored, or set aside with the reason, over two runs."""
+    out = scratch_path(configure(spark), "quarantine")
+    value = binding.table(spark, sf, "events").select("event_id", "value")
+    pushes = events.push_events(binding.raw_events(spark, sf)).join(value, "event_id")
+    facts = pushes.select(
+        F.col("repo.name").alias("repo_name"), F.col("payload.head").alias("commit_sha"),
+        F.col("value").alias("entropy_score"), F.col("created_at").alias("detected_at"),
+    )
+    parts = binding.slices(facts, "detected_at", 4)
+    for both in (parts[:2], parts[2:]):
+        for part in both:
+            _add(part, f"{out}/facts")
+        _finish(jobs.run_facts(_arriving(spark, facts, f"{out}/facts"), "leaks", out, f"{out}/checkpoint"))
+    stored = tables.leaks(spark, f"{out}/leaks").select(*facts.columns, F.lit("").alias("violations"))
+    aside = tables.rejected_rows(spark, f"{out}/rejects/leaks", facts.schema)
+    return _plain(stored.unionByName(aside.withColumn("violations", F.array_join("violations", ","))))
+
+
+@query
+def stream_feed_pages(spark, sf):
+    """The given events as pages that overlap and of which every second is the one before, read over a restart."""
+    out = scratch_path(configure(spark), "feed-pages")
+    raw = binding.raw_events(spark, sf).withColumnRenamed("event_id", "id")
+    size = 200
+    # A page starts with the last events of the page before it.
+    pages_of = F.when(F.col("id") % size >= size - 20, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    paged = raw.withColumn("ahead", F.explode(pages_of)).withColumn("n", F.col("ahead") + F.floor(F.col("id") / size))
+    event = F.struct(F.col("id").cast("string").alias("id"), "type", "repo", "payload", "created_at")
+    whole = paged.groupBy("n").agg(F.to_json(F.collect_list(event), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
+    twice = whole.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1))))
+    sent = twice.select((F.col("n") * 2 + F.col("again")).alias("page"), F.md5("value").alias("etag"), "value")
+    half = sent.agg(F.max("page")).first()[0] // 2
+    for part in (sent.where(F.col("page") <= half), sent.where(F.col("page") > half)):
+        part.write.mode("append").partitionBy("page", "etag").text(f"{out}/pages")
+        found = pages.feed_events(pages.read_feed_pages(spark, f"{out}/pages"))
+        unique = jobs.dedupe_stream(found, delay="31 days").select("event_id", "type", "created_at")
+        _finish(jobs.run_append(unique, f"{out}/rows", f"{out}/checkpoint"))
+    return _plain(spark.read.schema(unique.schema).parquet(f"{out}/rows").select(*unique.columns))
+
+
+@query
+def stream_live_latest(spark, sf):
+    """The latest leak of each repository from keyed state, over micro-batches out of order and a restart."""
+    out = scratch_path(configure(spark), "latest")
+    leaks = binding.leaks(spark, sf)
+    parts = binding.slices(leaks, "detected_at", 4)
+    for two in ((2, 0), (3, 1)):
+        for k in two:
+            _add(parts[k], f"{out}/leaks")
+        _finish(latest.run_latest(_arriving(spark, leaks, f"{out}/leaks"), f"{out}/rows", f"{out}/checkpoint"))
+    return leak_plans.live_latest(latest.latest_snapshot(spark, f"{out}/rows"))
+
+
 @query
 def stream_trends_sink(spark, sf):
     trends = tables.trends(spark, f"{_run_both_sinks(spark, sf)}/trends")

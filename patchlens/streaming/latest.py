@@ -62,7 +62,13 @@ def stream_latest(leaks: DataFrame, keep: str | None = None, salts: int = 4) ->
 def run_latest(
     leaks: DataFrame, out: str, checkpoint: str, trigger: str | None = None, keep: str | None = None
 ) -> StreamingQuery:
-    """Keep ``out`` current: every micro-batch stores the repositories it changed."""
+    """Keep ``out`` current: every micro-batch stores the repositories it changed.
+
+    State that expires needs a ``trigger`` interval: its clock runs on without new leaks, so a query that is to
+    stop when it has read what is there would never stop.
+    """
+    if keep and not trigger:
+        raise ValueError("keep needs a trigger interval")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         target = f"{out}/stream_id={_query_id(batch.sparkSession)}/batch_id={batch_id}"

@@ -149,6 +149,14 @@ def arriving_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commits(spark, sf_dir).join(when.select(_sha(F.col("doc_id")).alias("sha"), "arrived_at"), "sha")
 
 
+def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of keywords from the documents' first words, of one to six letters; the language is the sector."""
+    word = F.lower(F.element_at(F.split("text", " "), 1))
+    keyword = F.substring(word, F.lit(1), (F.col("doc_id") % 6 + 1).cast("int"))
+    rows = table(spark, sf_dir, "documents").select(F.col("lang").alias("sector"), F.ascii("lang").alias("sector_ord"), keyword.alias("keyword"))
+    return rows.filter("sector IS NOT NULL AND keyword <> ''").distinct()
+
+
 def slices(df: DataFrame, time: str, n: int) -> list[DataFrame]:
     """df cut in n slices by time, for a stream to read one after the other."""
     low, high = df.agg(F.unix_timestamp(F.min(time)), F.unix_timestamp(F.max(time))).first()

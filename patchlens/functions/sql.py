@@ -58,8 +58,9 @@ FUNCTIONS = (
 def register_functions(spark: SparkSession) -> None:
     """Make ``shannon_entropy(text)`` and ``FUNCTIONS`` known to the session's SQL.
 
-    ``dependencies(filename, patch)`` gives rows by ``FROM files LATERAL VIEW inline(dependencies(filename, patch)) found``. As a
-    SQL table function it would be planned as a join of the files with themselves, on their whole patches.
+    ``dependencies(filename, patch)`` is an array, and gives rows by ``FROM (SELECT *, dependencies(filename, patch) AS
+    found FROM files) LATERAL VIEW inline(found) added``. As a SQL table function it would be planned as a
+    join of the files with themselves, on their whole patches.
     """
     register_sql_functions(spark)
     for name, parameters, result, body in FUNCTIONS:

@@ -628,7 +628,7 @@ def sql_surface(spark, sf):
       FROM (SELECT commit_sha, filename, shannon_entropy(patch) AS h FROM surface_files)
       UNION ALL
       SELECT 'dependency', commit_sha, library_name, language, repo_name
-      FROM surface_files LATERAL VIEW inline(dependencies(filename, patch)) found""")
+      FROM (SELECT *, dependencies(filename, patch) AS found FROM surface_files) LATERAL VIEW inline(found) added""")
 
 
 @query

@@ -108,6 +108,6 @@ def test_functions_in_sql(spark):
     row = spark.sql("SELECT mask_segments('abcd/ef/ghijk') a, mask_repo('ab/cde', 4, 8) b, mask_repo('solo', 3, 2) c, mask_sha('0123456789') d, risk_band(4.6) e, risk_band(NULL) f, manifest_kind('X/Package.JSON') g, shannon_entropy('aabb') h").first()
     assert tuple(row) == ("abc***/ef/ghi***", "ab**/cde**", "so**", "01234567" + "*" * 16, "CRITICAL", "LOW", "JavaScript", 1.0)
     files = "VALUES ('requirements.txt', '+Flask==2\n+pip\n-old'), ('package.json', '+ \"pip\": 1'), ('a.py', '+x'), ('requirements.txt', NULL) AS f(filename, patch)"
-    found = spark.sql(f"SELECT library_name, language FROM {files} LATERAL VIEW inline(dependencies(filename, patch)) found")
+    found = spark.sql(f"SELECT library_name, language FROM (SELECT dependencies(filename, patch) AS found FROM {files}) LATERAL VIEW inline(found) added")
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, found.collect())) == [("flask", "Python"), ("pip", "JavaScript")]

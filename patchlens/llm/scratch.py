@@ -26,3 +26,12 @@ def saved(df: DataFrame) -> DataFrame:
     path = f"{folder(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``saved`` wrote, once all that is read from them is written."""
+    for table in tables:
+        spark = table.sparkSession
+        jvm = spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(table.inputFiles()[0]).getParent()
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

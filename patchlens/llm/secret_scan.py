@@ -1,12 +1,13 @@
 """Secrets in whole texts: fixed patterns, and random strings found by a battery of tests.
 
-A candidate is a run of LEAST_LENGTH or more characters of one encoding (hex, base32, base64 or
-its URL form). Under the hypothesis that it is random, its symbols are uniform and independent.
+A candidate is a run of LEAST_LENGTH or more characters of one encoding (hex, base32, lower or
+upper case with digits, alphanumeric, base64 or its URL form), or a part of it between the signs
+``+ / _ -``. Under the hypothesis that it is random, its symbols are uniform and independent.
 Three tests ask so: chi-squared uniformity over equal parts of the alphabet, as many as its
-length can fill; runs above and below the alphabet's middle; and serial correlation. Fisher's
-method combines them. Over all candidates of the corpus, the hypotheses are rejected at a false
+length can fill, over its classes of characters and over its frequent letters; runs above and below the
+alphabet's middle and runs of one class; and serial correlation. Fisher's method combines them. Over all candidates of the corpus, the hypotheses are rejected at a false
 discovery rate of RATE with weights in proportion to length, since longer strings tell more.
-What is not rejected is reported as random.
+What is not rejected is reported as random; a part is not reported within a run that is.
 """
 
 import math
@@ -39,9 +40,15 @@ ENCODINGS = {
     "hex": _DIGITS + "abcdef",
     "HEX": _DIGITS + "ABCDEF",
     "base32": _UPPER + "234567",
+    "lower36": _LOWER + _DIGITS,
+    "UPPER36": _UPPER + _DIGITS,
+    "base62": _UPPER + _LOWER + _DIGITS,
     "base64": _UPPER + _LOWER + _DIGITS + "+/",
     "base64url": _UPPER + _LOWER + _DIGITS + "-_",
 }
+#: Letters that make up most of words and names, and little of random strings.
+_FREQUENT = frozenset("etaoinshrETAOINSHR")
+_PART = re.compile(r"[A-Za-z0-9]{%d,}" % LEAST_LENGTH)
 _PLACES = {name: {c: k for k, c in enumerate(alphabet)} for name, alphabet in ENCODINGS.items()}
 
 
@@ -74,20 +81,40 @@ def _chi_squared(part_of: list[int], symbols: list[int]) -> float:
     return _chi_squared_tail(sum((o - e) ** 2 / e for o, e in zip(seen, expected)), len(share) - 1)
 
 
+def _classes(alphabet: str) -> list[int]:
+    """The class of each symbol of the alphabet: upper case and signs, lower case or digits, numbered from 0."""
+    kinds = [2 if c in _DIGITS else 1 if c in _LOWER else 0 for c in alphabet]
+    return [sorted(set(kinds)).index(k) for k in kinds]
+
+
 def uniformity(symbols: list[int], alphabet: str) -> float:
-    """p of equal use of the alphabet, by its classes of characters and by equal parts of about four symbols each.
+    """p of equal use of the alphabet, by classes of characters, by frequent and other letters, and by equal parts.
 
-    The smaller of both counts twice.
+    A part has about four symbols. The smallest of the three counts three times.
     """
     size = len(alphabet)
     parts = max(2, min(size, len(symbols) // 4))
-    kinds = [2 if c in _DIGITS else 1 if c in _LOWER else 0 for c in alphabet]
-    classes = [sorted(set(kinds)).index(k) for k in kinds]
-    return min(1.0, 2 * min(_chi_squared(classes, symbols), _chi_squared([k * parts // size for k in range(size)], symbols)))
+    classes = _classes(alphabet)
+    frequent = [2 if c in _DIGITS else int(c in _FREQUENT) for c in alphabet]
+    cuts = (classes, frequent, [k * parts // size for k in range(size)])
+    return min(1.0, 3 * min(_chi_squared(cut, symbols) for cut in cuts))
+
+
+def runs(symbols: list[int], alphabet: str) -> float:
+    """p of the number of runs in the halves of the alphabet, and of runs of one class; the smaller counts twice."""
+    size = len(alphabet)
+    classes = _classes(alphabet)
+    share = [classes.count(c) / size for c in range(max(classes) + 1)]
+    same = sum(w * w for w in share)
+    n = len(symbols)
+    changes = sum(classes[a] != classes[b] for a, b in zip(symbols, symbols[1:]))
+    # Neighbouring pairs depend on each other by the chance of three alike.
+    spread = (n - 1) * same * (1 - same) + 2 * (n - 2) * (sum(w**3 for w in share) - same * same)
+    by_class = _both_tails((changes - (n - 1) * (1 - same)) / math.sqrt(spread)) if spread > 0 else 1.0
+    return min(1.0, 2 * min(by_class, _runs_of_halves(symbols, size)))
 
 
-def runs(symbols: list[int], size: int) -> float:
-    """p of the number of runs in the upper and the lower half of the alphabet."""
+def _runs_of_halves(symbols: list[int], size: int) -> float:
     high = [2 * s >= size for s in symbols]
     up = sum(high)
     down, n = len(high) - up, len(high)
@@ -116,8 +143,7 @@ def evidence(text: str) -> float | None:
     if name is None:
         return None
     symbols = [_PLACES[name][c] for c in text]
-    size = len(ENCODINGS[name])
-    tests = (uniformity(symbols, ENCODINGS[name]), runs(symbols, size), serial(symbols))
+    tests = (uniformity(symbols, ENCODINGS[name]), runs(symbols, ENCODINGS[name]), serial(symbols))
     half = -sum(math.log(max(p, 1e-300)) for p in tests)
     # Fisher: twice this is chi-squared with six degrees of freedom, whose tail is elementary.
     return min(MOST, (half - math.log(1 + half + half * half / 2)) / math.log(10))
@@ -136,7 +162,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 _SPAN = "struct<start: bigint, kind: int, end: bigint>"
-_FOUND = f"doc_id bigint, base array<{_SPAN}>, tested array<struct<start: bigint, end: bigint, length: int, against: double>>"
+_TEST = "struct<start: bigint, end: bigint, length: int, against: double, run_length: int, run_against: double>"
+_FOUND = f"doc_id bigint, base array<{_SPAN}>, tested array<{_TEST}>"
+
+
+def candidates(text: str) -> Iterator[dict]:
+    """Every candidate with the evidence against its being random, and for a part those of the run around it."""
+    for m in _CANDIDATE.finditer(text):
+        core = m[0].rstrip("=")
+        against = evidence(core)
+        run = {"run_length": None, "run_against": None}
+        if against is not None:
+            yield {"start": m.start(), "end": m.end(), "length": len(core), "against": against, **run}
+            run = {"run_length": len(core), "run_against": against}
+        for part in _PART.finditer(core):
+            if len(part[0]) < len(core) and (against := evidence(part[0])) is not None:
+                at = {"start": m.start() + part.start(), "end": m.start() + part.end()}
+                yield {**at, "length": len(part[0]), "against": against, **run}
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -144,19 +186,13 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-        test = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("length", pa.int32()), ("against", pa.float64())])
+        test = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("length", pa.int32()), ("against", pa.float64()), ("run_length", pa.int32()), ("run_against", pa.float64())])
         for batch in batches:
             base, tested = [], []
             for text in batch.column("text").to_pylist():
                 text = text or ""
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in base_spans(text)])
-                found = []
-                for m in _CANDIDATE.finditer(text):
-                    core = m[0].rstrip("=")
-                    against = evidence(core)
-                    if against is not None:
-                        found.append({"start": m.start(), "end": m.end(), "length": len(core), "against": against})
-                tested.append(found)
+                tested.append(list(candidates(text)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(tested, pa.list_(test))],
                 ["doc_id", "base", "tested"],
@@ -201,7 +237,9 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """
     found = saved(scan(docs))
     mean, cut = rejection(found, rate)
-    random = F.filter("tested", lambda t: _weighted(t["length"], t["against"], mean) < F.lit(cut))
+    passes = lambda length, against: _weighted(length, against, mean) < F.lit(cut)
+    alone = lambda t: ~F.coalesce(passes(t["run_length"], t["run_against"]), F.lit(False))
+    random = F.filter("tested", lambda t: passes(t["length"], t["against"]) & alone(t))
     added = F.transform(random, lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
     return found.select("doc_id", "base", F.sort_array(F.concat("base", added.cast(f"array<{_SPAN}>"))).alias("spans"))
 

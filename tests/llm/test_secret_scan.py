@@ -63,6 +63,33 @@ def test_find_secrets(spark):
     assert caught >= 54
 
 
+def test_usual_alphabets_and_parts_of_paths_are_found(spark):
+    rng = random.Random(4)
+    names = ["getElementsByClassNameFromDocument", "AbstractSingletonProxyFactoryBean", "internationalization", "java/lang/reflect/InvocationHandler"]
+    rows, planted = [], {}
+    for k, (kind, before) in enumerate([("lower36", ""), ("UPPER36", ""), ("base62", ""), ("base62", "hooks/T0_ab/")]):
+        for i in range(1000 * k, 1000 * k + 60):
+            planted[i] = "".join(rng.choices(scan.ENCODINGS[kind], k=32))
+            rows.append((i, f"é {rng.choice(names)} {before}{planted[i]} {rng.choice(names)}"))
+    rows += [(i, " ".join(rng.choice(names) for _ in range(9))) for i in range(9000, 9060)]
+    found = scan.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    texts, caught = dict(rows), [0, 0, 0, 0]
+    for r in found:
+        spans = [texts[r.doc_id][s.start : s.end] for s in r.spans]
+        assert not any(name in span for span in spans for name in names)
+        caught[min(r.doc_id // 1000, 3)] += r.doc_id in planted and planted[r.doc_id] in spans
+    assert min(caught) >= 54, caught
+
+
+def test_a_part_is_left_out_within_a_random_run():
+    run = "0aB3-" + "q7Zk2MvX9cLw5RtY1nGh" + "_" + "e" * 24
+    whole, *parts = scan.candidates(f"see {run}")
+    assert (whole["start"], whole["end"], whole["run_length"]) == (4, 4 + len(run), None)
+    assert [p["start"] for p in parts] == [9, 30]
+    assert all((p["run_length"], p["run_against"]) == (len(run), whole["against"]) for p in parts)
+    assert list(scan.candidates("aB3+/_-" * 6)) == []
+
+
 def test_step_up_equals_its_definition(spark):
     rng = random.Random(3)
     tests = [(20 + rng.randrange(40), rng.choice([rng.random(), 10 * rng.random()])) for _ in range(400)]

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchlens.llm import textblocks as tb
+from patchlens.llm.scratch import free
 
 RUN = 128
 UNKNOWN = "und"
@@ -279,19 +280,21 @@ def predict(docs: DataFrame, languages: list[str], model: ByteGru | None) -> Dat
 
 
 def in_a_language(docs: DataFrame, languages: list[str], model: ByteGru | None, least: float) -> DataFrame:
-    """docs without the rows that are UNKNOWN or score below ``least``; all columns stay.
-
-    A column named _lettered is not allowed.
-    """
-    columns = docs.columns
+    """docs without the rows that are UNKNOWN or score below ``least``; all columns stay, whatever their names."""
+    columns = [f"c{k}" for k in range(len(docs.columns))]
+    text = columns[[c.lower() for c in docs.columns].index("text")]
+    (lettered,) = free(docs, "_lettered")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = _labelled(batch, languages, model)
+            read = pa.RecordBatch.from_arrays([batch.column(text), batch.column("lettered")], ["text", "_lettered"])
+            names, scores = _labelled(read, languages, model)
             keep = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
             yield batch.select(columns).filter(pa.array(keep, pa.bool_()))
 
-    return docs.withColumn("_lettered", _lettered()).mapInArrow(run, docs.schema)
+    # Numbered names, as the map takes none with a dot.
+    named = docs.withColumn(lettered, _lettered()).toDF(*columns, "lettered")
+    return named.mapInArrow(run, docs.toDF(*columns).schema).toDF(*docs.columns)
 
 
 def identify(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchlens.llm import textblocks as tb
-from patchlens.llm.scratch import saved
+from patchlens.llm.scratch import free, saved
 
 #: Bytes of documents in one row of the index, and of query texts in one visit of it.
 INDEX_BYTES = 4 << 20
@@ -317,8 +317,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = 13, one_in
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, words: int = 13, one_in: int = 20) -> DataFrame:
-    """docs without contaminated rows; all columns stay. A text alone decides, so equal texts share a verdict."""
+    """docs without contaminated rows; all columns stay, whatever their names. A text alone decides, so equal texts share a verdict."""
     text_hash = F.xxhash64(F.col("text").cast("string"))
     verdicts = contamination(docs.select(text_hash.alias("doc_id"), "text"), benchmark, words, one_in)
-    bad = verdicts.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, text_hash == F.col("_bad"), "left_anti")
+    (name,) = free(docs, "_bad")
+    bad = verdicts.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, text_hash == F.col(name), "left_anti")

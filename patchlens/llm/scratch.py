@@ -28,6 +28,17 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """Each name with as many underscores after it as it takes to be no column of docs, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes tables that ``saved`` wrote, once all that is read from them is written."""
     for table in tables:

@@ -3,6 +3,7 @@ import subprocess
 import sys
 
 import corpus_pipeline
+from patchlens.llm import jaccard_join, language, line_dedup, positional_index
 
 
 def test_stages_keep_the_columns_and_pack_the_rest(spark, tmp_path):
@@ -31,6 +32,31 @@ def test_stages_keep_the_columns_and_pack_the_rest(spark, tmp_path):
     assert kept["packing"] == kept["benchmark_decontamination"]
 
 
+def test_stages_keep_columns_named_like_their_own(spark):
+    words = [f"w{k}" for k in range(60)]
+    texts = ["first line of it\nsecond line here", "other words\nfirst line of it", " ".join(words), None, "", " ".join(words)]
+    own = ["_id", "_ID_", "_hash", "kept_id", "kept_hash", "_bad", "_lettered", "_gone", "gone_id", "gone_hash", "_lines"]
+    own += ["n_lines", "n_removed", "n", "row", "line_id", "norm", "component", "key", "text_hash", "set_id", "n_words", "items", "item_id", "a.b"]
+    rows = [(k, t, "en", *(f"{c}{k}" for c in own)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", *own]).repartition(3)
+    plain = docs.select("doc_id", "text", "lang")
+    benchmark = spark.createDataFrame([(1, "other words first", "x")], "item_id bigint, text string, _bad string")
+    languages, model = language.train(plain)
+    stages = [
+        lambda d: language.in_a_language(d, languages, model, 0.0),
+        line_dedup.without_repeats,
+        jaccard_join.one_of_each,
+        lambda d: positional_index.clean(d, benchmark),
+    ]
+    for stage, ids in zip(stages, [{0, 1, 2, 5}, {0, 1, 2, 3, 4, 5}, {0, 1, 2, 3, 4}, {0, 2, 3, 4, 5}]):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        found = {r[0]: tuple(r) for r in out.collect()}
+        assert set(found) == ids
+        assert all(row[3:] == rows[k][3:] for k, row in found.items())
+        assert sorted(map(tuple, stage(plain).collect()), key=repr) == sorted((row[:3] for row in found.values()), key=repr)
+
+
 def test_the_rest_imports_without_the_operators():
     code = """
 import sys, json

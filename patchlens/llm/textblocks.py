@@ -4,6 +4,7 @@ A block holds some megabytes of whole texts; a longer text is a block of its own
 depend on bytes only, so they agree between tasks, retries and runs.
 """
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -96,6 +97,34 @@ ALNUM = byte_set((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _LOWER = lower_table()
 
 
+#: Bytes up to which a word is mixed eight bytes at a time; a longer one is digested whole.
+LONG_WORD = 64
+
+
+def word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of the spans of data, from all their bytes; no sum over positions in which structured words cancel out.
+
+    Each step mixes eight bytes into the hash so far, from the length on, so that two words of one length of
+    at most eight bytes never share a hash. Words above LONG_WORD bytes have the first half of a 128-bit BLAKE2b digest.
+    """
+    size = last - first
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    out = mix(size.astype(U64), 11)
+    at = np.flatnonzero(size <= LONG_WORD)
+    for k in range(0, LONG_WORD, 8):
+        at = at[size[at] > k]
+        if not len(at):
+            break
+        part = np.ascontiguousarray(eight[first[at] + k]).view("<u8")[:, 0]
+        spare = U64(8) * (U64(8) - np.minimum(size[at] - k, 8).astype(U64))
+        out[at] = mix(out[at] ^ (part << spare >> spare), 12 + k)
+    for w in np.flatnonzero(size > LONG_WORD):
+        digest = hashlib.blake2b(data[first[w] : last[w]], digest_size=16).digest()
+        out[w] = int.from_bytes(digest[:8], "little")
+    return out
+
+
 def words(texts: list[bytes], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (runs of bytes in ``kind``, A-Z lowered), and each text's range of them.
 
@@ -105,8 +134,7 @@ def words(texts: list[bytes], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     inside = np.concatenate(([False], kind[data]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     first, last = edge[::2], edge[1::2]
-    hashes = span_hash(prefix_hash(_LOWER[data]), first, last)
-    return hashes, np.searchsorted(first, starts)
+    return word_hashes(_LOWER[data], first, last), np.searchsorted(first, starts)
 
 
 def owner(bounds: np.ndarray) -> np.ndarray:

@@ -95,3 +95,12 @@ def test_clean_keeps_columns_and_equal_texts_together(spark, tables):
     assert kept.columns == d.columns
     good = [r[0] for r in expected(docs, items) if not r[4]]
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(good, key=repr)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_structured_words_are_told_apart(spark, n):
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    one, other = ("".join(pair[b] for b in bits) for pair in ("ab", "ba"))
+    docs, items = [(1, one), (2, other)], [(7, one)]
+    assert found(spark, docs, items) == expected(docs, items)
+    assert [r[2] for r in found(spark, docs, items)] == [1, 0]

@@ -96,6 +96,8 @@ def _visits(rows: DataFrame, k: int, trees: int, share: float, least: int) -> Da
         keys = table.column("key").to_numpy()
         dim = table.column("dim")[0].as_py()
         vectors = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        # Powers of two change no sign and no cosine, and keep squares from overflow and underflow.
+        vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
         order = np.argsort(keys, kind="stable")  # the result does not depend on the order of arrival
         points, queries = order[~asks[order]], order[asks[order]]
         out = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
@@ -123,7 +125,7 @@ def nearest(
     """(query_id, rank, vec_id, score): the k nearest found rows of vectors for each row of queries, but for itself.
 
     Both have (vec_id, embedding). Nearness is the cosine in double precision; ties go to the
-    smaller vec_id; vectors of another length are no neighbours. Rows without a vec_id, and
+    smaller vec_id; vectors of another length are no neighbours. Finite vectors of any size take part. Rows without a vec_id, and
     vectors that are null, empty, zero or hold null or non-finite components, take no part.
     Repeated rows count once. An empty table gives no rows; a query with fewer than k other rows
     gets them all.

@@ -23,6 +23,8 @@ from patchlens.llm.scratch import saved
 END = 0
 #: Pre-tokens a worker remembers with their ids, in each of two halves.
 REMEMBERED = 350_000
+#: Characters up to which a pre-token is remembered, so that the memory has a bound in bytes as well.
+LONGEST = 64
 
 # Fixed values of the tokenizer's pre-tokenisation, for characters up to U+00FF: contractions,
 # letters, numbers, other signs (each with one space before it), white space.
@@ -80,7 +82,10 @@ class Encoder:
         new = list(new - again)
         self.ids.update(zip(new, _packed(self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
         known = self.ids.__getitem__
-        return [b"".join(map(known, f)) if out[k] is None else out[k] for k, f in enumerate(found)]
+        coded = [b"".join(map(known, f)) if out[k] is None else out[k] for k, f in enumerate(found)]
+        for long in [w for w in new if len(w) > LONGEST]:
+            del self.ids[long]
+        return coded
 
 
 @cache

@@ -21,6 +21,8 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Parts of text a task remembers with their counts.
 REMEMBERED = 600_000
+#: Characters up to which a part is remembered: a text without spaces is one part.
+LONGEST = 64
 
 
 def unigram_vocabulary(model_file: str) -> list[tuple[str, float]]:
@@ -36,7 +38,7 @@ def unigram_vocabulary(model_file: str) -> list[tuple[str, float]]:
 
 
 class Counter(dict):
-    """Part of text to (tokens, score), counted at first sight."""
+    """Part of text to (tokens, score), counted at first sight; parts above LONGEST characters are not remembered."""
 
     def __init__(self, vocabulary: list[tuple[str, float]]):
         super().__init__()
@@ -51,7 +53,8 @@ class Counter(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         out = self.known(part) if self.single.issuperset(part) else self.search(part)
-        self[part] = out
+        if len(part) <= LONGEST:
+            self[part] = out
         return out
 
     def known(self, part: str) -> tuple[int, float]:

@@ -169,14 +169,15 @@ def _sample(docs: DataFrame, per_language: int, runs_each: int, length: int) ->
     """Labelled runs of bytes: of each language the ``per_language`` rows of least hash, some runs of each."""
     lettered = docs.where("lang is not null and doc_id is not null").where(F.col("text").rlike(r"\p{L}"))
     least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # dense_rank, so that the limit per task stands below the distinct's shuffle and a repeated id is one.
     ids = (
         lettered.select("doc_id", "lang")
-        .withColumn("place", F.row_number().over(least))
+        .withColumn("place", F.dense_rank().over(least))
         .where(F.col("place") <= per_language)
-        .select("doc_id")
+        .select("lang", "doc_id")
         .distinct()
     )
-    chosen = [r.doc_id for r in ids.collect()]
+    chosen = [tuple(r) for r in ids.collect()]
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,7 +191,12 @@ def _sample(docs: DataFrame, per_language: int, runs_each: int, length: int) ->
                 [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.binary())], ["lang", "run"]
             )
 
-    rows = lettered.where(F.col("doc_id").isin(chosen)).select("doc_id", "lang", "text")
+    # An id may stand on any number of rows: one text of it teaches each of its languages.
+    named = lettered.where(F.col("doc_id").isin(sorted({i for _, i in chosen})))
+    text = F.min(F.struct(F.xxhash64("text"), "text")).alias("row")
+    single = named.groupBy("lang", "doc_id").agg(text).select("doc_id", "lang", "row.text")
+    rows = single.join(docs.sparkSession.createDataFrame(chosen, "lang string, doc_id bigint"), ["lang", "doc_id"], "left_semi")
+    rows = rows.select("doc_id", "lang", "text")
     return sorted((r.lang, bytes(r.run)) for r in rows.mapInArrow(cut, "lang string, run binary").collect())
 
 
@@ -200,6 +206,7 @@ def train(
     """Languages and network fitted on at most ``per_language`` rows a language, ``runs_each`` runs of ``length`` bytes each.
 
     A text below ``length`` bytes is one run, padded as in scoring, so every sampled row teaches.
+    Of rows equal in doc_id and lang, the one of least text hash teaches.
     Rows without lang, doc_id or a letter teach nothing; no labelled row gives no network. More
     than ``most_languages`` languages are refused, as the sample would have no bound.
     """

@@ -27,9 +27,12 @@ from patchlens.operators.scoring import (
     token_entropy,
     with_entropy,
 )
+from patchlens.operators.variants import commit_files, commit_reasons
 
 __all__ = [
+    "commit_files",
     "commit_missing",
+    "commit_reasons",
     "dedupe_pushes",
     "detect_leaks",
     "drop_noise",

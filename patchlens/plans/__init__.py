@@ -13,6 +13,7 @@ from patchlens.plans.leaks import (
 from patchlens.plans.reports import (
     llm_candidate_list,
     parse_responses,
+    response_reasons,
     sector_top_libraries,
     vibe_latest,
     vibe_rows,
@@ -39,6 +40,7 @@ __all__ = [
     "llm_candidates",
     "parse_responses",
     "public_security_stream",
+    "response_reasons",
     "sector_top_libraries",
     "tech_trends_top",
     "top_risky_repos",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from patchlens.functions.report import strip_fences, theme_label
+from patchlens.functions.variants import fields_of, whole_json
 from patchlens.lookups import SECTOR_SEEDS
 from patchlens.operators.filters import match_sectors
 from patchlens.schemas import REPORT_ITEM
@@ -70,6 +71,33 @@ def parse_responses(df: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def response_reasons(df: DataFrame, *extra: str) -> DataFrame:
+    """Answers (``response``) that give no row, each with the first ``reason`` for it.
+
+    ``no JSON`` (or more than one value), ``no list``, ``no items``, ``item 2 is no object``,
+    ``item 2 lacks summary``: missing, null, or for a list of names anything else.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in REPORT_ITEM.fields}
+    # Parsed in a step of its own, as the answer is used more than once.
+    read = df.select(whole_json(strip_fences(F.col("response"))).alias("answer"), *extra)
+    listed = read.select("answer", F.try_variant_get("answer", "$", "array<variant>").alias("items"), *extra)
+
+    def wrong(item: Column, place: Column) -> Column:
+        found = F.when(fields_of(item).isNull(), "is no object")
+        for name, kind in kinds.items():
+            found = found.when(F.try_variant_get(item, f"$.{name}", kind).isNull(), f"lacks {name}")
+        return F.concat(F.lit("item "), (place + 1).cast("string"), F.lit(" "), found)
+
+    faults = F.filter(F.transform("items", wrong), lambda fault: fault.isNotNull())
+    reason = (
+        F.when(F.col("answer").isNull(), "no JSON")
+        .when(F.col("items").isNull(), "no list")
+        .when(F.size("items") == 0, "no items")
+        .otherwise(F.get(faults, F.lit(0)))
+    )
+    return listed.select(reason.alias("reason"), *extra).filter(F.col("reason").isNotNull())
+
+
 def vibe_rows(parsed: DataFrame, vibe_date: Column | None = None) -> DataFrame:
     """Report items -> rows of the report table, dated today unless a date is given."""
     return parsed.select(

@@ -16,12 +16,18 @@ from patchlens.streaming.lookup import (
     settle,
     still_waiting,
 )
+from patchlens.streaming.metrics import BatchMetrics, batch_metrics
+from patchlens.streaming.sliding import compact_hours, hour_parts, run_sliding, sliding_kpis, stored_parts
 
 __all__ = [
+    "BatchMetrics",
+    "batch_metrics",
     "commit_findings",
     "commit_outcomes",
+    "compact_hours",
     "dedupe_stream",
     "dropped_rows",
+    "hour_parts",
     "hourly_snapshot",
     "latest_snapshot",
     "run_append",
@@ -29,9 +35,12 @@ __all__ = [
     "run_findings",
     "run_hourly",
     "run_latest",
+    "run_sliding",
     "run_stream",
     "settle",
+    "sliding_kpis",
     "still_waiting",
+    "stored_parts",
     "stream_entropy_hourly",
     "stream_latest",
 ]

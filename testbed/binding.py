@@ -137,6 +137,28 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def commit_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as commits in JSON with more fields than the commit table's; some texts are no commit."""
+    doc_id = F.col("doc_id")
+    file = F.struct(
+        F.lit("src/Main.py").alias("filename"), F.col("text").alias("patch"), F.col("n_chars").alias("changes"),
+        F.struct(F.col("source").alias("from")).alias("origin"),
+    )
+    commit = F.struct(
+        F.when(doc_id % 13 != 0, _sha(doc_id)).alias("sha"), _repo(doc_id).alias("repo_name"), "lang", F.array(file).alias("files")
+    )
+    bare = F.struct(_sha(doc_id).alias("sha"), _repo(doc_id).alias("repo_name"), F.lit("none").alias("files"))
+    whole = F.to_json(commit)
+    value = (
+        F.when(doc_id % 11 == 0, F.concat(whole, F.lit(" tail")))
+        .when(doc_id % 11 == 1, F.concat(F.lit("["), whole, F.lit("]")))
+        .when(doc_id % 11 == 2, F.to_json(bare))
+        .otherwise(whole)
+    )
+    documents = spread(table(spark, sf_dir, "documents"))
+    return documents.select("doc_id", value.alias("value"))
+
+
 def arriving_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commits with ``arrived_at``: ten minutes before their first push, or for every tenth two hours after it."""
     first = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"))

@@ -422,6 +422,32 @@ BODIES = {
              CASE WHEN head IS NULL THEN 'commit_sha' ELSE '' END AS violations
       FROM raw JOIN events USING (event_id) WHERE type = 'PushEvent'""",
     "stream_entropy_hourly": _HOURLY,
+    "stream_kpi_sliding": """
+      SELECT hr, count(DISTINCT commit_sha) AS total_leaks, round(avg(entropy_score), 6) AS avg_risk,
+             count(*) FILTER (WHERE entropy_score > 4.5) AS critical_count,
+             count(DISTINCT repo_name) AS affected_repos
+      FROM (SELECT unnest(generate_series(date_trunc('hour', min(detected_at)), date_trunc('hour', max(detected_at)),
+                                          INTERVAL 1 HOUR)) AS hr FROM leak)
+      JOIN leak ON detected_at < hr + INTERVAL 1 HOUR AND detected_at >= hr - INTERVAL 23 HOUR
+      GROUP BY hr""",
+    "commit_variant_files": f"""
+      SELECT {_repo('doc_id')} AS repo_name, sha1(doc_id::VARCHAR) AS commit_sha, 'src/main.py' AS filename,
+             text AS patch, lang, n_chars AS changes,
+             CASE WHEN lang IS NULL THEN '' ELSE 'lang' END AS commit_fields,
+             concat_ws(',', CASE WHEN n_chars IS NOT NULL THEN 'changes' END, 'origin') AS file_fields
+      FROM documents WHERE doc_id % 11 > 2 AND doc_id % 13 <> 0 AND length(text) > 0""",
+    "commit_variant_rejects": """
+      SELECT doc_id, CASE doc_id % 11 WHEN 0 THEN 'no JSON' WHEN 1 THEN 'no object' WHEN 2 THEN 'files are no list'
+                                      ELSE 'lacks sha' END AS reason
+      FROM documents WHERE doc_id % 11 < 3 OR doc_id % 13 = 0""",
+    "llm_response_rejects": """
+      SELECT doc_id, CASE WHEN NOT json_valid(body) THEN 'no JSON'
+                          WHEN json_type(body) <> 'ARRAY' THEN 'no list'
+                          ELSE 'item ' || (list_position(lacking, true)) || ' lacks summary' END AS reason
+      FROM (SELECT doc_id, body, CASE WHEN json_valid(body) THEN
+                   list_transform(json_extract(body, '$[*]'), lambda x: json_extract_string(x, '$.summary') IS NULL) END AS lacking
+            FROM bare)
+      WHERE NOT json_valid(body) OR json_type(body) <> 'ARRAY' OR list_contains(lacking, true)""",
 }
 
 BODIES |= {
@@ -429,6 +455,7 @@ BODIES |= {
     "stream_commits_sink": BODIES["stream_leaks_sink"],
     "stream_feed_pages": BODIES["push_dedupe"],
     "stream_live_latest": BODIES["live_latest_per_repo"],
+    "stream_batch_metrics": BODIES["push_batch_summary"],
     "feed_dedupe": BODIES["push_dedupe"],
     "commit_table_lookup": BODIES["leak_detect"],
     "vibe_table_roundtrip": BODIES["vibe_rows"],

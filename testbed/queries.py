@@ -10,12 +10,12 @@ from patchlens.functions.report import risk_band, vibe_sector
 from patchlens.functions.sql import register_functions
 from patchlens.functions.text import manifest_kind
 from patchlens.operators import commits as commit_ops
-from patchlens.operators import constraints, dependencies, events, filters, scoring
+from patchlens.operators import constraints, dependencies, events, filters, scoring, variants
 from patchlens.plans import leaks as leak_plans
 from patchlens.plans import reports, summaries, trends as trend_plans
 from patchlens.session import configure, scratch_path
 from patchlens.sources import pages, sinks, streams, tables
-from patchlens.streaming import jobs, latest, lookup
+from patchlens.streaming import jobs, latest, lookup, metrics, sliding
 from testbed import binding
 from testbed.binding import NOISE, SEEDS, THRESHOLD, TOKEN_THRESHOLD
 
@@ -613,6 +613,64 @@ def stream_live_latest(spark, sf):
     return leak_plans.live_latest(latest.latest_snapshot(spark, f"{out}/rows"))
 
 
+@query
+def stream_kpi_sliding(spark, sf):
+    """KPIs of the day up to every hour, over micro-batches out of order, a compaction and a restart."""
+    out = scratch_path(configure(spark), "sliding")
+    leaks = binding.leaks(spark, sf)
+    parts = binding.slices(leaks, "detected_at", 4)
+    for two in ((2, 0), (3, 1)):
+        for k in two:
+            _add(parts[k], f"{out}/leaks")
+        _finish(sliding.run_sliding(_arriving(spark, leaks, f"{out}/leaks"), f"{out}/hours", f"{out}/checkpoint"))
+        if two == (2, 0):
+            sliding.compact_hours(spark, f"{out}/hours")
+    return _plain(sliding.sliding_kpis(sliding.stored_parts(spark, f"{out}/hours")))
+
+
+@query
+def stream_batch_metrics(spark, sf):
+    """Events, pushes and signals, counted in passing by each micro-batch of a job and stored, over a restart."""
+    out = scratch_path(configure(spark), "metrics")
+    raw = binding.raw_events(spark, sf)
+    parts = binding.slices(raw, "created_at", 4)
+    for two in (parts[:2], parts[2:]):
+        for part in two:
+            _add(part, f"{out}/events")
+        counted = events.observe_pushes(_arriving(spark, raw, f"{out}/events"))
+        with metrics.BatchMetrics(spark, f"{out}/metrics") as listener:
+            started = jobs.run_append(events.flatten_push(counted), f"{out}/pushes", f"{out}/checkpoint")
+            _finish(started)
+            listener.wait(started)
+    names = ("total_events", "push_events", "signals")
+    value = lambda name: F.sum(F.when(F.col("metric") == name, F.col("value"))).alias(name)
+    return metrics.batch_metrics(spark, f"{out}/metrics").agg(*map(value, names))
+
+
+@query
+def commit_variant_files(spark, sf):
+    """Files of commits in JSON, with the fields that no schema names."""
+    found = variants.commit_files(binding.commit_messages(spark, sf))
+    get = lambda rest, name, kind: F.try_variant_get(F.element_at(rest, F.lit(name)), "$", kind)
+    return found.select(
+        "repo_name", "commit_sha", "filename", "patch",
+        get("commit_rest", "lang", "string").alias("lang"),
+        get("file_rest", "changes", "bigint").alias("changes"),
+        F.array_join(F.array_sort(F.map_keys("commit_rest")), ",").alias("commit_fields"),
+        F.array_join(F.array_sort(F.map_keys("file_rest")), ",").alias("file_fields"),
+    )
+
+
+@query
+def commit_variant_rejects(spark, sf):
+    return variants.commit_reasons(binding.commit_messages(spark, sf), "doc_id")
+
+
+@query
+def llm_response_rejects(spark, sf):
+    return reports.response_reasons(binding.responses(spark, sf), "doc_id")
+
+
 @query
 def sql_surface(spark, sf):
     """Masks, scores, bands and dependency names from SQL text alone."""

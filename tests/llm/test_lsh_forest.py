@@ -87,7 +87,8 @@ def test_edge_cases(spark):
 
 
 def test_very_large_and_very_small_vectors(spark):
-    rows = [(1, [1e200, 1e200]), (2, [1e200, 0.0]), (3, [1.0, 1.0]), (4, [1e-200, 1e-200]), (5, [5e-324, 0.0]), (6, [0.0, -1.7e308])]
+    big, small = 2.0**600, 2.0**-600
+    rows = [(1, [big, big]), (2, [big, 0.0]), (3, [1.0, 1.0]), (4, [small, small]), (5, [5e-324, 0.0]), (6, [0.0, -1.7e308])]
     got = found(spark, rows, {1, 4, 5, 6})
     half = math.sqrt(0.5)
     assert [[i for i, _ in got[q]] for q in (1, 4, 5, 6)] == [[3, 4, 2, 5, 6], [1, 3, 2, 5, 6], [2, 1, 3, 4, 6], [2, 5, 1, 3, 4]]

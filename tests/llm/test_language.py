@@ -79,3 +79,11 @@ def test_a_language_of_short_texts_is_learned(spark):
     assert languages == ["en", "pl"]
     got = {r.doc_id: r.lang_pred for r in language.predict(df, languages, model).collect()}
     assert all(got[i] == lang for i, _, lang in rows)
+
+
+def test_an_id_on_many_rows_teaches_each_language_once(spark):
+    docs = [(1, f"some words {k}", "en") for k in range(60)] + [(1, "des mots", "fr"), (1, "des mots", "fr"), (2, "autres", "fr")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(4)
+    runs = language._sample(df, 1, 6, 64)
+    assert [lang for lang, _ in runs] == ["en", "fr"]
+    assert runs == language._sample(df.repartition(3), 1, 6, 64)

@@ -70,3 +70,12 @@ def test_empty_table_and_extra_columns(spark):
     df = spark.createDataFrame([(1, "a", 2, 3, "x")], "doc_id int, text string, part int, place int, ids string")
     assert packing.pack(df, PATH).count() == 1
     assert packing.pack(df.limit(0), PATH).count() == 0
+
+
+def test_long_pre_tokens_are_not_remembered():
+    encoder = packing.Encoder(PATH)
+    long = "x" * (packing.LONGEST + 1)
+    for _ in range(2):
+        coded = encoder.encode([f"a {long} b {long}", long])
+        assert [np.frombuffer(c, "<u4").tolist() for c in coded] == [ids_of(f"a {long} b {long}"), ids_of(long)]
+        assert max(map(len, encoder.ids)) <= packing.LONGEST

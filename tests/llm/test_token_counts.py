@@ -70,3 +70,10 @@ def test_counts_do_not_depend_on_what_is_remembered(monkeypatch):
     small, large = token_counts.Counter(TIED), token_counts.Counter(TIED)
     for text in ["a b ab ba", "ab ab d", "dd a"]:
         assert small.text(text) == large.text(text)
+
+
+def test_long_parts_are_not_remembered():
+    count = token_counts.Counter(TIED)
+    long, short = "ab" * token_counts.LONGEST, "abab"
+    assert count.text(f"{long} {short}")[0] == count.text(long)[0] + count.text(short)[0]
+    assert max(map(len, count)) <= token_counts.LONGEST and token_counts.SPACE + short in count

@@ -5,6 +5,8 @@ from datetime import datetime, timedelta
 from patchlens import schemas, sources
 from patchlens.sources import sinks
 from patchlens.streaming import run_stream
+from patchlens.streaming.jobs import hourly_snapshot, run_hourly
+from patchlens.streaming.latest import latest_snapshot, run_latest
 
 T0 = datetime(2024, 1, 1)
 
@@ -53,3 +55,20 @@ def test_a_lookup_keeps_no_names_by_push(spark, tmp_path, monkeypatch):
     assert sources.trends(spark, f"{tmp_path}/out/trends").count() == 100
     wide = [n for columns, n in kept if "libraries" in columns]
     assert wide == [1] and not any({"libraries", "detected_at"} <= columns for columns, _ in kept)
+
+
+def test_state_partitions_stay_apart(spark, tmp_path, monkeypatch):
+    """One file is not made by one task over all state partitions."""
+    frame = type(spark.range(1))
+    merged = []
+    monkeypatch.setattr(frame, "coalesce", lambda self, n: merged.append(n) or self)
+    rows = [(f"o/r{k % 9}", f"c{k}", 4.6 + k % 3, T0 + timedelta(minutes=17 * k)) for k in range(60)]
+    leaks = spark.createDataFrame(rows, "repo_name string, commit_sha string, entropy_score double, detected_at timestamp")
+    leaks.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(leaks.schema).parquet(f"{tmp_path}/in")
+    run_hourly(stream, f"{tmp_path}/hours", f"{tmp_path}/cp1").awaitTermination()
+    run_latest(stream, f"{tmp_path}/latest", f"{tmp_path}/cp2").awaitTermination()
+    assert not merged
+    assert hourly_snapshot(spark, f"{tmp_path}/hours").count() == 17
+    found = {r.repo_name: r.commit_sha for r in latest_snapshot(spark, f"{tmp_path}/latest").collect()}
+    assert found == {f"o/r{k % 9}": f"c{k}" for k in range(51, 60)}

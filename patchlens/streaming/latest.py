@@ -13,6 +13,8 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 #: The store that state of a stateful processor needs.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FOUND = "at bigint, commit_sha string, entropy_score double"
+#: Files of a micro-batch's changes.
+FILES = 8
 LATEST = "repo_name string, commit_sha string, entropy_score double, detected_at timestamp"
 
 
@@ -72,7 +74,8 @@ def run_latest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         target = f"{out}/stream_id={_query_id(batch.sparkSession)}/batch_id={batch_id}"
-        batch.coalesce(1).write.mode("overwrite").parquet(target)
+        # An exchange: coalesced, one task would go through all state partitions one after the other.
+        batch.repartition(FILES, "repo_name").write.mode("overwrite").parquet(target)
 
     spark = leaks.sparkSession
     before = spark.conf.get(STATE_STORE, None)

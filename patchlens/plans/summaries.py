@@ -9,7 +9,9 @@ the only libraries that an exact count of the top must look at.
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ DISTINCT_LG_K = 14
 SCORE_K, SCORE_ERROR = 800, 0.01
 #: Libraries counted by a day's summary in one task.
 COUNTERS = 2000
+#: Rows a task gathers before it counts them and trims its days.
+MERGED_ROWS = 1_000_000
 
 
 def distinct_error(lg_k: int = DISTINCT_LG_K) -> float:
@@ -135,23 +139,46 @@ def trend_summaries(trends: DataFrame, counters: int = COUNTERS) -> DataFrame:
     A task keeps ``counters`` names a day; rare names are never shuffled.
     """
 
+    def merged(parts: list[pa.Table]) -> pa.Table:
+        both = pa.concat_tables(parts).group_by(["day", "library_name"]).aggregate([("n", "sum")])
+        return both.rename_columns(["day", "library_name", "n"])
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        days: dict = {}
+        # Counted and merged in Arrow; Python sees only the names that a day's counters keep.
+        held, fresh, rows, missed = None, [], 0, Counter()
+
+        def trimmed(table: pa.Table) -> pa.Table:
+            kept = []
+            for day, names in ((c["values"].as_py(), c["counts"].as_py()) for c in pc.value_counts(table.column("day"))):
+                own = table.filter(pc.equal(table.column("day"), pa.scalar(day, pa.date32())))
+                if names > counters:
+                    # What the first counter beyond the size holds is taken off all of them.
+                    cut = int(np.partition(own.column("n").to_numpy(), names - counters - 1)[names - counters - 1])
+                    missed[day] += cut
+                    own = own.filter(pc.greater(own.column("n"), cut))
+                    own = own.set_column(2, "n", pc.subtract(own.column("n"), cut))
+                kept.append(own)
+            return pa.concat_tables(kept) if kept else table
+
+        days: set = set()
         for batch in batches:
-            grouped = pa.Table.from_batches([batch]).group_by(["day", "library_name"]).aggregate([([], "count_all")])
-            by_day: dict = {}
-            for day, name, n in zip(*(grouped.column(c).to_pylist() for c in ("day", "library_name", "count_all"))):
-                by_day.setdefault(day, {})[name] = n
-            for day, counts in by_day.items():
-                days.setdefault(day, FrequentCounts(counters)).add(counts)
-        rows = []
-        for day, frequent in days.items():
-            frequent.trim()
-            rows += [(day, name, n, 0) for name, n in frequent.counts.items()]
-            rows.append((day, None, 0, frequent.missed))
-        columns = list(zip(*rows)) or [[]] * 4
-        types = (pa.date32(), pa.string(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["day", "library_name", "n", "missed"])
+            ones = pa.repeat(pa.scalar(1, pa.int64()), len(batch))
+            fresh.append(pa.table([batch.column("day"), batch.column("library_name"), ones], names=["day", "library_name", "n"]))
+            rows += len(batch)
+            if rows >= MERGED_ROWS:
+                held = trimmed(merged([*([held] if held is not None else []), *fresh]))
+                days.update(held.column("day").unique().to_pylist())
+                fresh, rows = [], 0
+        if fresh or held is not None:
+            held = trimmed(merged([*([held] if held is not None else []), *fresh]))
+            days.update(held.column("day").unique().to_pylist())
+            days.update(missed)
+            zero = pa.repeat(pa.scalar(0, pa.int64()), held.num_rows)
+            for part in held.append_column("missed", zero).to_batches():
+                yield part
+            at = list(days)
+            columns = [pa.array(at, pa.date32()), pa.nulls(len(at), pa.string()), pa.array([0] * len(at), pa.int64()), pa.array([missed[d] for d in at], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["day", "library_name", "n", "missed"])
 
     named = trends.filter(F.col("library_name").isNotNull()).select(F.to_date("detected_at").alias("day"), "library_name")
     parts = named.mapInArrow(count, "day date, library_name string, n bigint, missed bigint")

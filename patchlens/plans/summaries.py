@@ -150,7 +150,8 @@ def trend_summaries(trends: DataFrame, counters: int = COUNTERS) -> DataFrame:
         def trimmed(table: pa.Table) -> pa.Table:
             kept = []
             for day, names in ((c["values"].as_py(), c["counts"].as_py()) for c in pc.value_counts(table.column("day"))):
-                own = table.filter(pc.equal(table.column("day"), pa.scalar(day, pa.date32())))
+                at = table.column("day")
+                own = table.filter(pc.is_null(at) if day is None else pc.equal(at, pa.scalar(day, pa.date32())))
                 if names > counters:
                     # What the first counter beyond the size holds is taken off all of them.
                     cut = int(np.partition(own.column("n").to_numpy(), names - counters - 1)[names - counters - 1])

@@ -117,11 +117,12 @@ def test_names_are_counted_in_arrow_with_few_rows_held(spark, monkeypatch):
     monkeypatch.setattr(sm, "FrequentCounts", None)  # its loops over single names are not called
     monkeypatch.setattr(sm, "MERGED_ROWS", 50)
     rows = [(f"l{k * k % 97}", datetime(2024, 1, 1 + k % 3)) for k in range(3000)] + [(None, datetime(2024, 1, 2))]
+    rows += [(f"undated{k}", None) for k in range(200)]
     trends = spark.createDataFrame(rows, "library_name string, detected_at timestamp").coalesce(1)
     made = sm.trend_summaries(trends, 20).collect()
-    true = Counter((day.date(), name) for name, day in rows if name)
+    true = Counter((day and day.date(), name) for name, day in rows if name)
     missed = {r.day: r.missed for r in made if r.library_name is None}
     counted = {(r.day, r.library_name): r.n for r in made if r.library_name is not None}
-    assert set(missed) == {datetime(2024, 1, d).date() for d in (1, 2, 3)}
+    assert set(missed) == {None, *(datetime(2024, 1, d).date() for d in (1, 2, 3))}
     assert all(counted.get(k, 0) <= n <= counted.get(k, 0) + missed[k[0]] for k, n in true.items())
     assert max(Counter(day for day, _ in counted).values()) <= 20

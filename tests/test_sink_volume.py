@@ -72,3 +72,24 @@ def test_state_partitions_stay_apart(spark, tmp_path, monkeypatch):
     assert hourly_snapshot(spark, f"{tmp_path}/hours").count() == 17
     found = {r.repo_name: r.commit_sha for r in latest_snapshot(spark, f"{tmp_path}/latest").collect()}
     assert found == {f"o/r{k % 9}": f"c{k}" for k in range(51, 60)}
+
+
+def test_names_go_from_the_join_into_files(spark, tmp_path, monkeypatch):
+    """The rows of a lookup with their names are shuffled by day only if a task cannot keep a file open for each day."""
+    plans, put = {}, sinks._put
+
+    def spied(rows, path, *rest):
+        plans[path.removeprefix(f"{tmp_path}/")] = rows._jdf.queryExecution().analyzed().toString()
+        put(rows, path, *rest)
+
+    monkeypatch.setattr(sinks, "_put", spied)
+    commits = spark.createDataFrame([("o/r", "x", [("requirements.txt", "+flask\n+numpy")])], schemas.COMMIT)
+    for name, days in (("few", 3), ("many", sinks.OPEN_FILES + 1)):
+        pushes = spark.createDataFrame([("o/r", "x", T0 + timedelta(days=d)) for d in range(days)] * 2, "name string, head string, pushed_at timestamp")
+        pushes.write.parquet(f"{tmp_path}/{name}/in")
+        stream = spark.readStream.schema(pushes.schema).parquet(f"{tmp_path}/{name}/in")
+        run_stream(stream, commits, f"{tmp_path}/{name}", f"{tmp_path}/{name}/cp").awaitTermination()
+        stored = sources.trends(spark, f"{tmp_path}/{name}/trends")
+        assert stored.count() == 4 * days and stored.filter("detected_date <> to_date(detected_at)").isEmpty()
+    assert "Repartition" not in plans["few/trends"] and "Rebalance" not in plans["few/trends"]
+    assert "Rebalance" in plans["many/trends"]

@@ -12,7 +12,17 @@ def whole_json(text: Column) -> Column:
     """
     listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
     field = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.when((F.size(listed) == 1) & field.isNotNull(), F.get(listed, F.lit(0)))
+    # One expression from the list to its item: named twice, the list would be parsed twice.
+    only = F.transform(F.array(listed), lambda items: F.when((F.size(items) == 1) & field.isNotNull(), F.get(items, F.lit(0))))
+    return F.get(only, F.lit(0))
+
+
+def step(c: Column) -> Column:
+    """c as a generator of one row, to select under a name: later filters on it cannot move below it and compute it again.
+
+    As a plain column it would be written out wherever a filter uses it, and run where the table is scanned.
+    """
+    return F.explode_outer(F.array(c))
 
 
 def fields_of(value: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchlens.functions.text import not_blank
-from patchlens.functions.variants import fields_of, whole_json
+from patchlens.functions.variants import fields_of, step, whole_json
 
 COMMIT_FIELDS = ("repo_name", "sha", "files")
 FILE_FIELDS = ("filename", "patch")
@@ -21,7 +21,8 @@ def _rest(fields: Column, known: tuple[str, ...]) -> Column:
 def _read(messages: DataFrame, *extra: str) -> DataFrame:
     """commit (VARIANT of the text ``value``) and its files as VARIANTs; NULL where it has none."""
     # The text is parsed in a step of its own, as it is used more than once.
-    parsed = messages.select(whole_json(F.col("value").cast("string")).alias("commit"), *extra)
+    text = messages.select(step(F.col("value").cast("string")).alias("value"), *extra)
+    parsed = text.select(step(whole_json(F.col("value"))).alias("commit"), *extra)
     files = F.try_variant_get("commit", "$.files", "array<variant>")
     return parsed.select("commit", files.alias("files"), *extra)
 
@@ -63,4 +64,4 @@ def commit_reasons(messages: DataFrame, *extra: str) -> DataFrame:
         .when(fields_of(F.col("commit")).isNull(), "no object")
         .otherwise(F.coalesce(missing, F.when(F.col("files").isNull(), "files are no list")))
     )
-    return _read(messages, *extra).select(reason.alias("reason"), *extra).filter(F.col("reason").isNotNull())
+    return _read(messages, *extra).select(step(reason).alias("reason"), *extra).filter(F.col("reason").isNotNull())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from patchlens.functions.report import strip_fences, theme_label
-from patchlens.functions.variants import fields_of, whole_json
+from patchlens.functions.variants import fields_of, step, whole_json
 from patchlens.lookups import SECTOR_SEEDS
 from patchlens.operators.filters import match_sectors
 from patchlens.schemas import REPORT_ITEM
@@ -78,9 +78,10 @@ def response_reasons(df: DataFrame, *extra: str) -> DataFrame:
     ``item 2 lacks summary``: missing, null, or for a list of names anything else.
     """
     kinds = {f.name: f.dataType.simpleString() for f in REPORT_ITEM.fields}
-    # Parsed in a step of its own, as the answer is used more than once.
-    read = df.select(whole_json(strip_fences(F.col("response"))).alias("answer"), *extra)
-    listed = read.select("answer", F.try_variant_get("answer", "$", "array<variant>").alias("items"), *extra)
+    # Read in steps of their own, as text and answer are used more than once.
+    bare = df.select(step(strip_fences(F.col("response"))).alias("text"), *extra)
+    read = bare.select(step(whole_json(F.col("text"))).alias("answer"), *extra)
+    listed = read.select("answer", step(F.try_variant_get("answer", "$", "array<variant>")).alias("items"), *extra)
 
     def wrong(item: Column, place: Column) -> Column:
         found = F.when(fields_of(item).isNull(), "is no object")
@@ -95,7 +96,7 @@ def response_reasons(df: DataFrame, *extra: str) -> DataFrame:
         .when(F.size("items") == 0, "no items")
         .otherwise(F.get(faults, F.lit(0)))
     )
-    return listed.select(reason.alias("reason"), *extra).filter(F.col("reason").isNotNull())
+    return listed.select(step(reason).alias("reason"), *extra).filter(F.col("reason").isNotNull())
 
 
 def vibe_rows(parsed: DataFrame, vibe_date: Column | None = None) -> DataFrame:

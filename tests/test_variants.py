@@ -65,3 +65,14 @@ def test_each_answer_without_rows_has_a_reason(spark):
     assert [found.get(i) for i in range(len(rows))] == [reason for reason, _ in rows]
     # An answer either gives rows or a reason.
     assert {r.i for r in parse_responses(df, "i").collect()} == set(range(len(rows))) - set(found)
+
+
+def test_reasons_parse_a_text_once_and_where_it_was_dealt_to(spark):
+    """The filter on the reason stays above the parsing, and the parsing above the exchange."""
+    texts = spark.createDataFrame([(1, "[]"), (2, "[] []"), (3, '[{"sector": "s"}]')], "id int, text string").repartition(3)
+    for reasons, name, found in ((response_reasons, "response", ["no items", "no JSON", "item 1 lacks theme"]), (commit_reasons, "value", ["no object", "no JSON", "no object"])):
+        dealt = reasons(texts.withColumnRenamed("text", name), "id")
+        assert [r.reason for r in dealt.orderBy("id").collect()] == found
+        plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("Repartition")
+        assert above.count("parseJson") == 2 and "Filter" in above and "Filter" not in below

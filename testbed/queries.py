@@ -599,7 +599,9 @@ def stream_feed_pages(spark, sf):
     sent = twice.select((F.col("n") * 2 + F.col("again")).alias("page"), F.md5("value").alias("etag"), "value")
     half = sent.agg(F.max("page")).first()[0] // 2
     for part in (sent.where(F.col("page") <= half), sent.where(F.col("page") > half)):
-        part.write.mode("append").partitionBy("page", "etag").text(f"{out}/pages")
+        # Each task puts its own pages in place; by default the driver would move every page's file, one after the other.
+        placed = part.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        placed.partitionBy("page", "etag").text(f"{out}/pages")
         found = pages.feed_events(pages.read_feed_pages(spark, f"{out}/pages"))
         unique = jobs.dedupe_stream(found, delay="31 days").select("event_id", "type", "created_at")
         _finish(jobs.run_append(unique, f"{out}/rows", f"{out}/checkpoint"))

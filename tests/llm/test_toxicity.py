@@ -1,7 +1,9 @@
+import functools
 import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from patchlens.llm import textblocks as tb
 from patchlens.llm import toxicity
@@ -94,3 +96,41 @@ def test_an_id_on_many_rows_teaches_once(spark, monkeypatch):
     assert sorted(r[1] for r in rows) == [0, 1]
     again = toxicity.train(df.repartition(3), labels, most_toxic=1, most_clean=1)
     assert [r[2].tolist() for r in rows] == [r[2].tolist() for r in again]
+
+
+def test_rows_beyond_the_sample_teach(spark, monkeypatch):
+    docs, labels = planted(2400)
+    truth, least = dict(labels), 60
+    frame = spark.createDataFrame(labels, "doc_id bigint, toxic int").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+    sample = {r.doc_id for k in (0, 1) for r in frame.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id")).limit(least).collect()}
+    rng = random.Random(4)
+    rows = []
+    for i, text, lang in docs:
+        words = [w for w in text.split() if w.startswith("w")] or ["w1"]
+        for _ in range(3 * truth[i]):
+            words.insert(rng.randrange(len(words)), "vile" if i in sample else "grim")
+        rows.append((i, " ".join(words), lang))
+    monkeypatch.setattr(toxicity, "train", functools.partial(toxicity.train, most_toxic=least, most_clean=least))
+    found = toxicity.classify(
+        spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    ).collect()
+    held = [r for r in found if r.held_out]
+    hits = sum(r.predicted and truth[r.doc_id] for r in held)
+    assert hits >= 0.8 * sum(truth[r.doc_id] for r in held)
+    assert sum(r.predicted and not truth[r.doc_id] for r in held) <= 0.1 * len(held)
+
+
+def test_a_long_text_teaches_whole(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, 20)) for _ in range(toxicity.BATCH)]
+    texts[0] = " ".join(["w1"] * (toxicity.MOST_WORDS + 1)) + " last"
+    rows = [(i, int(i == 0), "en", t) for i, t in enumerate(texts) if not toxicity._apart(np.array([i]))[0] or i == 0]
+    rows = [(r[0] if r[0] else 10_000, *r[1:]) for r in rows]
+    assert not toxicity._apart(np.array([10_000]))[0]
+    df = spark.createDataFrame(rows, "doc_id bigint, toxic int, lang string, text string")
+    (step,) = toxicity._steps(df.selectExpr("0 part", "doc_id", "toxic", "text").coalesce(1).toArrow().to_batches())
+    assert texts[0].encode() in step[1] and sum(step[2]) == 1
+    net = toxicity.ConvNet(bits=6, half=3, filters=2)
+    net.begin()
+    moved = toxicity.taught(net, df, {0: len(rows) - 1, 1: 1})
+    assert not np.allclose(moved.kernel, net.kernel) and np.isfinite(moved.tables).all()

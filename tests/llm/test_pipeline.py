@@ -2,6 +2,8 @@ import json
 import subprocess
 import sys
 
+import pyarrow as pa
+
 import corpus_pipeline
 from patchlens.llm import jaccard_join, language, line_dedup, positional_index
 
@@ -70,3 +72,22 @@ print(json.dumps(sorted(e.queries())))
 """
     names = json.loads(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
     assert "leak_detect" in names and not any(n.startswith("op") or n == "pipeline" for n in names)
+
+
+def test_stages_take_texts_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text", "'en' AS lang").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    try:
+        corpus_pipeline.pack(spark, docs, "")
+        found = [r[0] for r in docs.mapInArrow(sizes, "size bigint").collect()]
+        assert sum(found) > 12e6 and max(found) < 5e6
+        spark.conf.set(key, "64k")
+        corpus_pipeline.pack(spark, docs, "")
+        assert spark.conf.get(key) == "64k"
+    finally:
+        spark.conf.unset(key)

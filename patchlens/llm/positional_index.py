@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchlens.llm import textblocks as tb
-from patchlens.llm.scratch import free, saved
+from patchlens.llm.scratch import free, saved, small_batches
 
 #: Bytes of documents in one row of the index, and of query texts in one visit of it.
 INDEX_BYTES = 4 << 20
 QUERY_BYTES = 32 << 20
+#: Windows that are looked up in a row of the index at a time.
+WINDOWS = 1 << 16
 
 INDEX = (
     "doc_ids array<bigint>, bounds array<int>, terms array<bigint>, heads array<int>, gaps array<int>"
@@ -56,8 +58,10 @@ def build_index(docs: DataFrame) -> DataFrame:
     Each document keeps its place even without words or text, and each repeated row is indexed
     for itself. An empty table gives an empty index.
     """
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return saved(narrow.mapInArrow(_postings, INDEX))
+    # A row has some megabytes, so tasks that held many of them would hold a multiple of their input.
+    return saved(narrow.mapInArrow(_postings, INDEX), group_rows=1)
 
 
 class _Block:
@@ -228,7 +232,9 @@ def _one_visit(index: DataFrame, windows: dict) -> DataFrame:
             edge = np.zeros(block.n + 1, np.int64)
             hits: list[np.ndarray] = []
             for size, (hashes, which, item) in windows.items():
-                phrase, start = block.phrases(hashes)
+                parts = [(k, block.phrases(hashes[k : k + WINDOWS])) for k in range(0, len(hashes), WINDOWS)]
+                phrase = np.concatenate([k + part[0] for k, part in parts])
+                start = np.concatenate([part[1] for _, part in parts])
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + size, -1)
                 met = np.unique(np.stack([block.document(start), phrase]), axis=1)

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 from patchlens.llm import positional_index
@@ -104,3 +105,26 @@ def test_structured_words_are_told_apart(spark, n):
     docs, items = [(1, one), (2, other)], [(7, one)]
     assert found(spark, docs, items) == expected(docs, items)
     assert [r[2] for r in found(spark, docs, items)] == [1, 0]
+
+
+def test_a_row_of_the_index_is_read_alone(spark):
+    rows = [(k, f"word{k} " * 5) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        stored = positional_index.build_index(docs)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert stored.count() == 12
+    for file in stored.inputFiles():
+        footer = pq.ParquetFile(file.removeprefix("file:")).metadata
+        assert all(footer.row_group(k).num_rows == 1 for k in range(footer.num_row_groups))
+
+
+def test_windows_in_parts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "d e f"), (3, "x")], "doc_id bigint, text string")
+    asked = spark.createDataFrame([(k, t) for k, t in enumerate(["a b c", "b c d", "d e f", "e f g", "c"])], "item_id bigint, text string")
+    whole = sorted(map(tuple, positional_index.phrase_hits(positional_index.build_index(docs), asked, 3).collect()))
+    monkeypatch.setattr(positional_index, "WINDOWS", 1)
+    assert sorted(map(tuple, positional_index.phrase_hits(positional_index.build_index(docs), asked, 3).collect())) == whole
+    assert [(r[0], sorted(r[3])) for r in whole] == [(1, [0, 1, 2, 4]), (2, [2]), (3, [])]

@@ -1,6 +1,10 @@
 """What sinks and jobs keep, sort and shuffle on the way."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from patchlens import schemas, sources
 from patchlens.sources import sinks
@@ -36,6 +40,21 @@ def test_names_are_not_sorted_for_their_day(spark, tmp_path, monkeypatch):
     assert stored.filter("library_name <> 'flask'").groupBy("library_name").count().filter("count <> 4").isEmpty()
 
 
+def test_an_open_file_holds_few_rows(spark, tmp_path):
+    """Names that neither a dictionary nor zstd makes short: a file's rows go out by megabytes, whatever its size."""
+    days = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 2 * 86_400)
+    rows = spark.range(400_000).repartition(1).select(
+        F.sha1(F.col("id").cast("string")).alias("library_name"), F.lit("Python").alias("language"),
+        F.lit("o/r").alias("repo_name"), days.alias("detected_at"),
+    )
+    sources.write_trends(rows, f"{tmp_path}/t", 0, "q", clustered=False, gathered=False)
+    files = [pq.ParquetFile(f).metadata for f in Path(tmp_path, "t").rglob("*.parquet")]
+    assert len(files) == 2 and sum(f.num_rows for f in files) == 400_000
+    for file in files:
+        held = [sum(g.column(c).total_compressed_size for c in range(g.num_columns)) for g in map(file.row_group, range(file.num_row_groups))]
+        assert sum(held) > 3 << 20 and max(held) < 3 << 20
+
+
 def test_a_lookup_keeps_no_names_by_push(spark, tmp_path, monkeypatch):
     frame = type(spark.range(1))
     kept, persist = [], frame.persist

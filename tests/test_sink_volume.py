@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from patchlens import schemas, sources
 from patchlens.sources import sinks
 from patchlens.streaming import run_stream
-from patchlens.streaming.jobs import hourly_snapshot, run_hourly
+from patchlens.streaming.jobs import STATE_ON_DISK, hourly_snapshot, run_hourly
 from patchlens.streaming.latest import latest_snapshot, run_latest
 
 T0 = datetime(2024, 1, 1)
@@ -112,3 +112,24 @@ def test_names_go_from_the_join_into_files(spark, tmp_path, monkeypatch):
         assert stored.count() == 4 * days and stored.filter("detected_date <> to_date(detected_at)").isEmpty()
     assert "Repartition" not in plans["few/trends"] and "Rebalance" not in plans["few/trends"]
     assert "Rebalance" in plans["many/trends"]
+
+
+def test_a_stream_join_keeps_its_state_on_disk(spark, tmp_path):
+    pushes = spark.createDataFrame([("o/r", "x", T0), ("o/r", "gone", T0)], "name string, head string, pushed_at timestamp")
+    commits = spark.createDataFrame(
+        [("o/r", "x", [("requirements.txt", "+flask\n+numpy")], T0)],
+        "repo_name string, sha string, files array<struct<filename: string, patch: string>>, committed_at timestamp",
+    )
+    pushes.write.parquet(f"{tmp_path}/p")
+    commits.write.parquet(f"{tmp_path}/c")
+    before = {name: spark.conf.get(name, None) for name in STATE_ON_DISK}
+    query = run_stream(
+        spark.readStream.schema(pushes.schema).parquet(f"{tmp_path}/p"),
+        spark.readStream.schema(commits.schema).parquet(f"{tmp_path}/c"),
+        f"{tmp_path}/out", f"{tmp_path}/cp",
+    )
+    query.awaitTermination()
+    assert {name: spark.conf.get(name, None) for name in STATE_ON_DISK} == before
+    joins = [o for p in query.recentProgress for o in p.stateOperators]
+    assert joins and all(any(m.startswith("rocksdb") for m in o.customMetrics) for o in joins)
+    assert sources.trends(spark, f"{tmp_path}/out/trends").count() == 2
